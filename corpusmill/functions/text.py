@@ -47,7 +47,6 @@ def chunks(col: Column, size: int = CHUNK_SIZE) -> Column:
     return F.regexp_extract_all(col, F.lit("(?s).{1,%d}" % size), F.lit(0))
 
 
-@F.arrow_udf("array<string>")
 def _nfkc_parts(parts: pa.Array) -> pa.Array:
     lengths = pc.fill_null(pc.list_value_length(parts), 0)
     ends = pc.cumulative_sum(lengths)
@@ -59,7 +58,8 @@ def _nfkc_parts(parts: pa.Array) -> pa.Array:
 def normalize_parts(parts: Column) -> Column:
     """NFKC for every string of an array. Rows that cannot change skip the Arrow function."""
     unstable = F.exists(parts, lambda p: F.rlike(p, F.lit(f"[^{NFKC_STABLE}]")))
-    return F.coalesce(_nfkc_parts(F.when(unstable, parts)), parts)
+    nfkc = F.arrow_udf(_nfkc_parts, "array<string>")
+    return F.coalesce(nfkc(F.when(unstable, parts)), parts)
 
 
 def normalize_nfkc(col: Column) -> Column:
