@@ -166,13 +166,13 @@ def _coded(words: str, key: str, out: str) -> str:
     """Ids per key from ``(key, place, w, special)`` occurrences in the table ``words``."""
     seg = _merged(f"array_to_string({_per_byte('w', BYTE_CHAR_LIST)}, '')")
     return f"""
-{out}_words AS MATERIALIZED (
+{out}_seg AS MATERIALIZED (
   SELECT w, {seg} AS seg FROM (SELECT DISTINCT w FROM {words} WHERE special IS NULL)),
 {out}_ids AS MATERIALIZED (
   SELECT {key}, list_transform(
       string_split(string_agg(coalesce(chr(256 + special), seg), '' ORDER BY place), ''),
       lambda c: unicode(c) - 256) AS ids
-  FROM {words} LEFT JOIN {out}_words USING (w) GROUP BY {key})
+  FROM {words} LEFT JOIN {out}_seg USING (w) GROUP BY {key})
 """
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -29,6 +29,11 @@ def pad_value_mask(padded: Column, pad_id: int) -> Column:
     return F.transform(padded, lambda x: (x != pad_id).cast("tinyint"))
 
 
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` with ``value`` evaluated once: a lambda variable is not computed again per use."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def assistant_mask(ids: Column, header: Sequence[int], end_id: int) -> Column:
     """1 from after each header through the next ``end_id``; 0 elsewhere.
 
@@ -38,35 +43,47 @@ def assistant_mask(ids: Column, header: Sequence[int], end_id: int) -> Column:
     header = list(header)
     width = len(header)
     pattern = F.array(*[F.lit(h) for h in header])
-    first = F.lit(header[0])
-    positions = F.when(
-        F.size(ids) >= width, F.sequence(F.lit(1), F.size(ids) - (width - 1))
-    ).otherwise(F.array().cast("array<int>"))
-    matches = F.filter(
-        positions,
-        lambda i: (F.element_at(ids, i) == first) & (F.slice(ids, i, width) == pattern),
-    )
-    starts = F.aggregate(
-        matches,
-        F.array().cast("array<int>"),
-        lambda kept, i: F.when(
-            i >= F.coalesce(F.array_max(kept), F.lit(0)), F.concat(kept, F.array(i + width))
-        ).otherwise(kept),
-    )
-    ends = F.filter(
-        F.transform(ids, lambda x, i: F.when(x == end_id, i + 1)), lambda e: e.isNotNull()
-    )
-    spans = F.transform(
-        starts,
-        lambda s: F.struct(
-            s.alias("first"), F.array_min(F.filter(ends, lambda e: e >= s)).alias("last")
-        ),
-    )
-    return F.transform(
+    nothing = F.array().cast("array<int>")
+
+    def starts(xs: Column) -> Column:
+        positions = F.when(
+            F.size(xs) >= width, F.sequence(F.lit(1), F.size(xs) - (width - 1))
+        ).otherwise(nothing)
+        matches = F.filter(
+            positions,
+            lambda i: (F.element_at(xs, i) == header[0]) & (F.slice(xs, i, width) == pattern),
+        )
+        return F.aggregate(
+            matches,
+            nothing,
+            lambda kept, i: F.when(
+                i >= F.coalesce(F.array_max(kept), F.lit(0)), F.concat(kept, F.array(i + width))
+            ).otherwise(kept),
+        )
+
+    def ends(xs: Column) -> Column:
+        return F.filter(
+            F.transform(xs, lambda x, i: F.when(x == end_id, i + 1)), lambda e: e.isNotNull()
+        )
+
+    def spans(xs: Column) -> Column:
+        def span(s: Column, es: Column) -> Column:
+            last = F.array_min(F.filter(es, lambda e: e >= s))
+            return F.struct(s.alias("first"), last.alias("last"))
+
+        return bind(ends(xs), lambda es: F.transform(starts(xs), lambda s: span(s, es)))
+
+    def covered(i: Column, found: Column) -> Column:
+        return F.exists(
+            found, lambda s: F.coalesce((i + 1).between(s["first"], s["last"]), F.lit(False))
+        )
+
+    return bind(
         ids,
-        lambda _, i: F.exists(
-            spans, lambda s: F.coalesce((i + 1).between(s["first"], s["last"]), F.lit(False))
-        ).cast("tinyint"),
+        lambda xs: bind(
+            spans(xs),
+            lambda found: F.transform(xs, lambda _, i: covered(i, found).cast("tinyint")),
+        ),
     )
 
 

@@ -42,25 +42,29 @@ def register_sql(spark: SparkSession) -> None:
             '')
         """
     )
-    # Fold over the ids: `opened` is the end of the last header, `closed` the last end token.
+    # A one-element transform binds a value to a name, so it is evaluated once.
     spark.sql(
         """
         CREATE OR REPLACE TEMPORARY FUNCTION assistant_mask(
             ids ARRAY<INT>, header ARRAY<INT>, end_id INT)
         RETURNS ARRAY<TINYINT>
-        RETURN transform(
-            ids,
-            (x, i) -> CAST(exists(
+        RETURN get(transform(
+            array(struct(
                 aggregate(
                     filter(
                         if(size(ids) >= size(header),
                            sequence(1, size(ids) - size(header) + 1), array()),
-                        p -> slice(ids, p, size(header)) = header),
+                        p -> ids[p - 1] = header[0] AND slice(ids, p, size(header)) = header),
                     CAST(array() AS ARRAY<INT>),
                     (kept, p) -> if(p >= coalesce(array_max(kept), 0),
-                                    concat(kept, array(p + size(header))), kept)),
-                s -> s <= i + 1
-                     AND array_position(slice(ids, s, greatest(i + 1 - s, 0)), end_id) = 0
-                     AND array_position(slice(ids, i + 1, size(ids)), end_id) > 0) AS TINYINT))
+                                    concat(kept, array(p + size(header))), kept)) AS starts,
+                filter(transform(ids, (x, i) -> if(x = end_id, i + 1, NULL)),
+                       e -> e IS NOT NULL) AS ends)),
+            f -> get(transform(
+                array(transform(f.starts,
+                    s -> struct(s AS first, array_min(filter(f.ends, e -> e >= s)) AS last))),
+                spans -> transform(ids, (x, i) -> CAST(
+                    exists(spans, s -> coalesce(i + 1 BETWEEN s.first AND s.last, false))
+                    AS TINYINT))), 0)), 0)
         """
     )

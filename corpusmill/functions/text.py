@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Sequence
 
 import pyarrow as pa
@@ -51,8 +52,8 @@ def _nfkc_parts(parts: pa.Array) -> pa.Array:
     lengths = pc.fill_null(pc.list_value_length(parts), 0)
     ends = pc.cumulative_sum(lengths)
     offsets = pa.concat_arrays([pa.array([0], pa.int32()), ends.cast(pa.int32())])
-    values = pc.utf8_normalize(parts.flatten(), form="NFKC")
-    return pa.ListArray.from_arrays(offsets, values, mask=parts.is_null())
+    values = [unicodedata.normalize("NFKC", part) for part in parts.flatten().to_pylist()]
+    return pa.ListArray.from_arrays(offsets, pa.array(values, pa.string()), mask=parts.is_null())
 
 
 def normalize_parts(parts: Column) -> Column:
