@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusmill.functions.byte_symbols import SYMBOLS
 from corpusmill.operators.ranks import rank_by_id
-from corpusmill.operators.tokenizer import Tokenizer
+from corpusmill.operators.steps import spread
+from corpusmill.operators.tokenizer import SPECIAL_TOKENS, Tokenizer
 from corpusmill.operators.vocabulary import train_bpe, word_counts
 from corpusmill.session import prepare_session, scratch_path
 
@@ -18,7 +20,7 @@ _tokenizers: dict[tuple[str, str, int], Tokenizer] = {}
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     prepare_session(spark)
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,9 +37,6 @@ def tokenizer(spark: SparkSession, sf_dir: str, merges: int = MERGES) -> Tokeniz
 
 def byte_tokenizer() -> Tokenizer:
     """Special tokens and single bytes only."""
-    from corpusmill.functions.byte_symbols import SYMBOLS
-    from corpusmill.operators.tokenizer import SPECIAL_TOKENS
-
     return Tokenizer(tokens=(*SPECIAL_TOKENS, *sorted(SYMBOLS)), merges=())
 
 

@@ -17,12 +17,12 @@ CHUNK_SIZE = 512
 SPACE_CLASS = r"\s\x1c-\x1f"
 # Byte-level pre-token pattern as published by Radford et al. (2019).
 WORD_PATTERN = (
-    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+    r"'(?:s|t|re|ve|m|ll|d)| ?+\p{L}++| ?+\p{N}++| ?+[^\s\p{L}\p{N}]++|\s+(?!\S)|\s+"
 )
 # Blocks whose characters NFKC leaves alone and which never combine with a neighbour:
-# ASCII, Latin letters, dashes and quotes, CJK punctuation, kana, CJK ideographs, Hangul.
+# Latin letters, dashes and quotes, CJK punctuation, kana, CJK ideographs, Hangul (and ASCII).
 NFKC_STABLE = (
-    r"\x00-\x7fÀ-ıĴ-ľŁ-ňŊ-ž"
+    r"À-ıĴ-ľŁ-ňŊ-ž"
     r"‐‒-―‘-‟、。〈-】"
     r"ぁ-ゖァ-ヺ一-鿿가-힣"
 )
@@ -56,32 +56,34 @@ def _nfkc_parts(parts: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(offsets, pa.array(values, pa.string()), mask=parts.is_null())
 
 
+def _unstable(col: Column) -> Column:
+    """True when NFKC may change the text: a non-ASCII character outside the stable blocks."""
+    return F.rlike(col, F.lit(f"[^\\x00-\\x7f](?<![{NFKC_STABLE}])"))
+
+
 def normalize_parts(parts: Column) -> Column:
     """NFKC for every string of an array. Rows that cannot change skip the Arrow function."""
-    unstable = F.exists(parts, lambda p: F.rlike(p, F.lit(f"[^{NFKC_STABLE}]")))
     nfkc = F.arrow_udf(_nfkc_parts, "array<string>")
-    return F.coalesce(nfkc(F.when(unstable, parts)), parts)
+    return F.coalesce(nfkc(F.when(F.exists(parts, _unstable), parts)), parts)
 
 
 def normalize_nfkc(col: Column) -> Column:
-    return F.when(
-        F.rlike(col, F.lit(f"[^{NFKC_STABLE}]")), F.get(normalize_parts(F.array(col)), F.lit(0))
-    ).otherwise(col)
-
-
-def _boundary(specials: Sequence[str]) -> str:
-    longest_first = sorted(specials, key=len, reverse=True)
-    return "|".join(re.escape(s) for s in longest_first)
+    nfkc = F.arrow_udf(_nfkc_parts, "array<string>")
+    return F.coalesce(F.get(nfkc(F.when(_unstable(col), F.array(col))), F.lit(0)), col)
 
 
 def split_special(col: Column, specials: Sequence[str]) -> Column:
     """Cut the text before and after every special token; pieces keep their order."""
-    literal = _boundary(specials)
-    pieces = F.split(col, f"(?={literal})|(?<={literal})", -1)
-    found = F.rlike(col, F.lit(literal))
-    return F.when(found, F.filter(pieces, lambda p: p != "")).otherwise(
-        F.filter(F.array(col), lambda p: p != "")
-    )
+    longest_first = sorted(specials, key=len, reverse=True)
+    literal = "|".join(re.escape(s) for s in longest_first)
+    # One-character tests first: the whole alternation is tried at few positions.
+    first = "".join(sorted({re.escape(s[0]) for s in specials}))
+    last = "".join(sorted({re.escape(s[-1]) for s in specials}))
+    pieces = F.split(col, f"(?=[{first}])(?={literal})|(?<=[{last}])(?<={literal})", -1)
+    found = F.rlike(col, F.lit(f"(?=[{first}])(?:{literal})"))
+    return F.when(found, F.filter(pieces, lambda p: p != "")).when(
+        col == "", F.array().cast("array<string>")
+    ).otherwise(F.array(col))
 
 
 def flag_special(parts: Column, specials: Sequence[str]) -> Column:

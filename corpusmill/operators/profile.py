@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from corpusmill.functions.strict_json import parse_line
 from corpusmill.operators.ranks import take_lines
 from corpusmill.operators.records import line_reason, text_of
+from corpusmill.operators.steps import once
 
 
 def count_lines(lines: DataFrame) -> DataFrame:
@@ -41,13 +42,13 @@ def corpus_profile(
 ) -> DataFrame:
     """Profile of the first raw lines of a numbered corpus (all of them with ``None``)."""
     head = take_lines(lines, first_n)
-    parsed = head.withColumn("text", text_of(parse_line(F.col(value))))
+    parsed = once(head, "text", text_of(parse_line(F.col(value))))
     return profile_texts(parsed, by)
 
 
 def scan_report(lines: DataFrame, value: str = "value") -> DataFrame:
     """Raw lines by the reason they are lost, with ``kept`` for the rest."""
-    parsed = lines.select(value, parse_line(F.col(value)).alias("v"))
+    parsed = once(lines.select(value), "v", parse_line(F.col(value)))
     return (
         parsed.select(line_reason(F.col(value), F.col("v")).alias("reason"))
         .groupBy("reason")

@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 from corpusmill.functions.chat import SYSTEM_PROMPT, chat_messages, render_any
 from corpusmill.functions.strict_json import kind, member, parse_line, string_member
 from corpusmill.functions.text import CHUNK_SIZE, chunks, nonblank, strip
+from corpusmill.operators.steps import once
 
 
 def parse_json_strict(
     df: DataFrame, col: str = "value", out: str = "v", keep_malformed: bool = False
 ) -> DataFrame:
     """Parse one JSON value per row; malformed rows are dropped, or kept with a null value."""
-    parsed = df.withColumn(out, parse_line(F.col(col)))
+    parsed = once(df, out, parse_line(F.col(col)))
     return parsed if keep_malformed else parsed.filter(F.col(out).isNotNull())
 
 
@@ -25,7 +26,7 @@ def text_of(record: Column) -> Column:
 
 
 def extract_text(df: DataFrame, v: str = "v", out: str = "text") -> DataFrame:
-    return df.withColumn(out, text_of(F.col(v))).filter(F.col(out).isNotNull())
+    return once(df, out, text_of(F.col(v))).filter(F.col(out).isNotNull())
 
 
 def line_reason(value: Column, v: Column) -> Column:
@@ -54,14 +55,13 @@ def chunk_text(
 ) -> DataFrame:
     """One row per chunk with ``chunk_idx``; whitespace-only chunks leave a gap in it."""
     others = [c for c in df.columns if c not in (col, out)]
-    return df.select(*others, F.posexplode(chunks(F.col(col), size)).alias("chunk_idx", out)).filter(
-        nonblank(F.col(out))
-    )
+    pieces = F.posexplode_outer(chunks(F.col(col), size)).alias("chunk_idx", out)
+    return df.select(*others, pieces).filter(nonblank(F.col(out)))
 
 
 def to_chat(df: DataFrame, v: str = "v", out: str = "messages", prompt: str = SYSTEM_PROMPT):
     """Raw conversation records to chat records; rows without a usable turn are dropped."""
-    return df.withColumn(out, chat_messages(F.col(v), prompt)).filter(F.col(out).isNotNull())
+    return once(df, out, chat_messages(F.col(v), prompt)).filter(F.col(out).isNotNull())
 
 
 def render_records(df: DataFrame, value: str = "value", out: str = "rendered") -> DataFrame:

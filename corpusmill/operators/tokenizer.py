@@ -87,10 +87,8 @@ class Tokenizer:
 
     # Column expressions ---------------------------------------------------
 
-    def words(self, col: Column) -> Column:
-        """Special tokens and pre-tokens of a text, in order."""
-        parts = split_special(col, self.specials)
-        clean = normalize_parts(parts) if self.normalize else parts
+    def words(self, parts: Column, clean: Column) -> Column:
+        """Special tokens and pre-tokens in order, from the parts before and after NFKC."""
         found = F.zip_with(
             parts,
             clean,
@@ -100,10 +98,8 @@ class Tokenizer:
         )
         return F.flatten(found)
 
-    def encode(self, col: Column) -> Column:
-        """``array<int>`` of token ids; nothing is added in front or behind."""
-        word_ids = F.arrow_udf(array_encoder(self.encode_word), "array<int>")
-        return word_ids(self.words(col))
+    def ids_of(self, words: Column) -> Column:
+        return F.arrow_udf(array_encoder(self.encode_word), "array<int>")(words)
 
     def decode(self, ids: Column, skip_special: bool = False) -> Column:
         """Text of the ids; unknown ids give nothing, broken UTF-8 gives U+FFFD."""
@@ -132,7 +128,16 @@ class Tokenizer:
 
 
 def encode(df: DataFrame, tok: Tokenizer, col: str = "text", out: str = "ids") -> DataFrame:
-    return df.withColumn(out, tok.encode(F.col(col)))
+    """Add ``array<int>`` of token ids; nothing is added in front or behind.
+
+    The steps are separate columns because each is read more than once by the next.
+    """
+    parts = df.withColumn("_parts", split_special(F.col(col), tok.specials))
+    clean = parts.withColumn(
+        "_clean", normalize_parts(F.col("_parts")) if tok.normalize else F.col("_parts")
+    )
+    words = tok.words(F.col("_parts"), F.col("_clean"))
+    return clean.withColumn(out, tok.ids_of(words)).drop("_parts", "_clean")
 
 
 def decode(

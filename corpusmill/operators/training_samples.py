@@ -13,7 +13,7 @@ from corpusmill.functions.samples import (
     shift_xy,
     truncate_pad,
 )
-from corpusmill.operators.tokenizer import Tokenizer
+from corpusmill.operators.tokenizer import Tokenizer, encode
 
 # Fixed values -------------------------------------------------------------
 MAX_LENGTH = 512
@@ -41,7 +41,8 @@ def pretrain_samples(
     df: DataFrame, tok: Tokenizer, max_length: int = MAX_LENGTH, col: str = "text"
 ) -> DataFrame:
     """``x``, ``y``, ``mask`` of each text: start token, cut or zero-padded, shifted by one."""
-    ids = df.withColumn("_ids", tok.encode(with_bos(F.col(col), tok.bos_token))).drop(col)
+    begun = df.withColumn("_text", with_bos(F.col(col), tok.bos_token))
+    ids = encode(begun, tok, "_text", "_ids").drop(col, "_text")
     padded = ids.select(
         "*",
         truncate_pad(F.col("_ids"), max_length, PRETRAIN_PAD_ID).alias("_padded"),
@@ -62,7 +63,7 @@ def sft_samples(
     ``pad_value`` leaves out every position holding the padding id, which is also the end
     token; ``assistant`` supervises the assistant turns with their end token.
     """
-    ids = df.withColumn("_ids", tok.encode(F.col(col))).drop(col)
+    ids = encode(df, tok, col, "_ids").drop(col)
     padded = ids.withColumn("_padded", truncate_pad(F.col("_ids"), max_length, tok.pad_id))
     if mask == "pad_value":
         bits = pad_value_mask(F.col("_padded"), tok.pad_id)

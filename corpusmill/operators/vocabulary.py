@@ -65,10 +65,12 @@ def symbol_char(token_id: int) -> str:
     return chr(code if code < 0xD800 else code + 0x800)
 
 
-def apply_merges(seg: Column, merges: Sequence[tuple[str, str]]) -> Column:
+def apply_merges(seg: str, merges: Sequence[tuple[str, str]]) -> Column:
     """Replace each pair by its merged symbol, left to right, one merge after the other."""
-    steps = F.array(*[F.struct(F.lit(p).alias("pair"), F.lit(m).alias("merged")) for p, m in merges])
-    return F.aggregate(steps, seg, lambda text, m: F.replace(text, m["pair"], m["merged"]))
+    steps = ", ".join(f"struct('{pair}' AS pair, '{merged}' AS merged)" for pair, merged in merges)
+    return F.expr(
+        f"aggregate(array({steps}), {seg}, (text, m) -> replace(text, m.pair, m.merged))"
+    )
 
 
 class _Symbols:
@@ -167,7 +169,7 @@ def train_bpe(
     def current_pairs() -> DataFrame:
         if not pending:
             return pairs
-        merged = table.withColumn("now", apply_merges(F.col("seg"), pending))
+        merged = table.withColumn("now", apply_merges("seg", pending))
         before = F.struct(F.col("seg"), (-F.col("freq")).alias("freq"))
         after = F.struct(F.col("now").alias("seg"), F.col("freq"))
         both = F.when(F.col("now") != F.col("seg"), F.array(before, after))
@@ -201,7 +203,7 @@ def train_bpe(
             version += 1
             pairs = stored(current_pairs(), "pairs")
             table = stored(
-                table.select(apply_merges(F.col("seg"), pending).alias("seg"), "freq").filter(
+                table.select(apply_merges("seg", pending).alias("seg"), "freq").filter(
                     F.length("seg") > 1
                 ),
                 "words",

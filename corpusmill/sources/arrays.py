@@ -14,6 +14,7 @@ from pyspark.sql.window import Window
 
 from corpusmill.functions.strict_json import parse_line
 from corpusmill.functions.text import strip
+from corpusmill.operators.steps import once
 
 BLOCK = ["file", "block"]
 
@@ -120,21 +121,17 @@ def read_json_array(spark: SparkSession, path: str | list[str]) -> DataFrame:
         (F.col("idx") < F.col("last_idx")) | F.endswith(text, F.lit("]"))
     ) & ((F.col("last_idx") > 0) | (F.length(text) > 1))
     empty = (F.col("last_idx") == 0) & (strip(F.col("bare")) == "")
-    return (
+    listed = (
         array_elements(spark, path)
         .withColumn("closed", closed)
         .withColumn("bare", bare)
         .filter(~(F.col("closed") & empty))
-        .withColumn("v", parse_line(F.col("bare")))
-        .select(
-            "file",
-            "idx",
-            F.when(F.col("closed") & F.col("v").isNotNull(), F.col("v"))
-            .otherwise(
-                F.raise_error(
-                    F.concat(F.lit("not a JSON array: "), "file", F.lit(", element "), "idx")
-                ).cast("variant")
-            )
-            .alias("v"),
-        )
+    )
+    broken = F.raise_error(F.concat(F.lit("not a JSON array: "), "file", F.lit(", element "), "idx"))
+    return once(listed, "parsed", parse_line(F.col("bare"))).select(
+        "file",
+        "idx",
+        F.when(F.col("closed") & F.col("parsed").isNotNull(), F.col("parsed"))
+        .otherwise(broken)
+        .alias("v"),
     )
