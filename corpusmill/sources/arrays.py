@@ -33,7 +33,10 @@ def _depth(piece: Column) -> Column:
 
 
 def array_elements(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Source text of each top-level element: ``(file, idx, last_idx, value)``, from 0."""
+    """Source text of each top-level element: ``(file, idx, last_idx, end_depth, value)``.
+
+    ``idx`` counts from 0; ``end_depth`` is the bracket depth at the end of the file.
+    """
     pieces = spark.read.text(path, lineSep=",").select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
@@ -76,13 +79,19 @@ def array_elements(spark: SparkSession, path: str | list[str]) -> DataFrame:
     )
     carry = ends.withColumn(
         "inside", F.coalesce(F.sum("odd").over(earlier) % 2, F.lit(0))
-    ).withColumn(
-        "depth", F.coalesce(F.sum(F.expr("if(inside = 0, if_out, if_in)")).over(earlier), F.lit(0))
     )
-    placed = marked.join(carry.select(*BLOCK, "inside", "depth"), BLOCK).select(
+    change = F.sum(F.expr("if(inside = 0, if_out, if_in)"))
+    carry = carry.select(
+        *BLOCK,
+        "inside",
+        F.coalesce(change.over(earlier), F.lit(0)).alias("depth"),
+        change.over(Window.partitionBy("file")).alias("end_depth"),
+    )
+    placed = marked.join(carry, BLOCK).select(
         *BLOCK,
         "seq",
         "value",
+        "end_depth",
         (
             ((F.col("inside") + F.col("flip_end")) % 2 == 0)
             & (F.col("depth") + F.expr("if(inside = 0, if_out, if_in)") == 1)
@@ -100,11 +109,11 @@ def array_elements(spark: SparkSession, path: str | list[str]) -> DataFrame:
     joined = (
         local.join(starts, BLOCK)
         .withColumn("idx", F.col("base") + F.col("local"))
-        .groupBy("file", "idx", "last_idx")
+        .groupBy("file", "idx", "last_idx", "end_depth")
         .agg(F.sort_array(F.collect_list(F.struct("block", "seq", "value"))).alias("parts"))
     )
     text = F.array_join(F.transform("parts", lambda p: p["value"]), ",")
-    return joined.select("file", "idx", "last_idx", text.alias("value"))
+    return joined.select("file", "idx", "last_idx", "end_depth", text.alias("value"))
 
 
 def read_json_array(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -119,7 +128,7 @@ def read_json_array(spark: SparkSession, path: str | list[str]) -> DataFrame:
     ).otherwise(bare)
     closed = ((F.col("idx") > 0) | F.startswith(text, F.lit("["))) & (
         (F.col("idx") < F.col("last_idx")) | F.endswith(text, F.lit("]"))
-    ) & ((F.col("last_idx") > 0) | (F.length(text) > 1))
+    ) & ((F.col("last_idx") > 0) | (F.length(text) > 1)) & (F.col("end_depth") == 0)
     empty = (F.col("last_idx") == 0) & (strip(F.col("bare")) == "")
     listed = (
         array_elements(spark, path)
