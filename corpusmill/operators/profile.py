@@ -22,7 +22,6 @@ def count_samples(samples: DataFrame, by: list[str] | None = None) -> DataFrame:
 def profile_texts(df: DataFrame, by: list[str] | None = None, text: str = "text") -> DataFrame:
     """Lines seen, rows with text, characters, and whole-number mean length."""
     filled = F.col(text) != ""
-    rows, chars = F.col("rows"), F.col("chars")
     return (
         df.groupBy(*(by or []))
         .agg(
@@ -30,7 +29,7 @@ def profile_texts(df: DataFrame, by: list[str] | None = None, text: str = "text"
             F.count_if(filled).alias("rows"),
             F.coalesce(F.sum(F.when(filled, F.length(text))), F.lit(0)).alias("chars"),
         )
-        .withColumn("mean_chars", F.floor(chars / F.greatest(rows, F.lit(1))))
+        .withColumn("mean_chars", F.expr("chars div greatest(rows, 1)"))
     )
 
 

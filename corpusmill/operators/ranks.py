@@ -55,11 +55,16 @@ def global_rank(
     )
 
 
+def _div(value: Column, by: int) -> Column:
+    """Whole-number quotient without a detour over doubles."""
+    return F.call_function("div", value, F.lit(by))
+
+
 def rank_by_id(
     df: DataFrame, id_col: str, out: str = "rank", width: int = 1 << 20
 ) -> DataFrame:
     """0-based rank by a unique integer id; ``width`` ids at most share a bucket."""
-    keyed = df.withColumn("_range", F.floor(F.col(id_col) / width))
+    keyed = df.withColumn("_range", _div(F.col(id_col) - F.pmod(F.col(id_col), F.lit(width)), width))
     return global_rank(keyed, ["_range"], [id_col], out).drop("_range")
 
 
@@ -141,12 +146,12 @@ def batch_columns(
     ``applied`` tells whether the update's group of batches is complete: an epoch only steps
     on a multiple of ``accumulation``. ``max_steps`` ends the epoch after that many batches.
     """
-    batches = F.ceil(total / batch_size).cast("bigint")
+    batches = _div(total + (batch_size - 1), batch_size)
     if max_steps is not None:
         batches = F.least(batches, F.lit(max_steps))
-    full_groups = F.floor(batches / accumulation)
-    numbered = df.withColumn("batch_id", F.floor(F.col("rank") / batch_size)).withColumn(
-        "update_id", F.floor(F.col("batch_id") / accumulation)
+    full_groups = _div(batches, accumulation)
+    numbered = df.withColumn("batch_id", _div(F.col("rank"), batch_size)).withColumn(
+        "update_id", _div(F.col("batch_id"), accumulation)
     )
     kept = numbered.withColumn("applied", F.col("update_id") < full_groups)
     return kept if max_steps is None else kept.filter(F.col("batch_id") < max_steps)
@@ -181,4 +186,4 @@ def text_batches(
         if buckets
         else rank_by_id(valid, (within or ["line_no"])[0], "rank")
     )
-    return ranked.withColumn("batch_id", F.floor(F.col("rank") / batch_size))
+    return ranked.withColumn("batch_id", _div(F.col("rank"), batch_size))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.functions.chat import SYSTEM_PROMPT, chat_messages, render_any
+from corpusmill.functions.chat import SYSTEM_PROMPT, chat_messages, render_any, render_chat
 from corpusmill.functions.strict_json import kind, member, parse_line, string_member
 from corpusmill.functions.text import CHUNK_SIZE, chunks, nonblank, strip
 from corpusmill.operators.steps import once
@@ -68,3 +68,17 @@ def render_records(df: DataFrame, value: str = "value", out: str = "rendered") -
     """Framed text of each supervised JSON line, whatever its shape; malformed rows drop out."""
     parsed = parse_json_strict(df, value, "_v")
     return parsed.withColumn(out, render_any(F.col("_v"), strip(F.col(value)))).drop("_v")
+
+
+def prepare_lines(lines: DataFrame, kind: str) -> DataFrame:
+    """The same steps for a batch or a stream of raw lines with a ``value`` column.
+
+    ``pretrain`` gives ``(chunk_idx, text)``, ``chat`` gives ``(messages, rendered)``.
+    """
+    records = parse_json_strict(lines)
+    if kind == "pretrain":
+        return chunk_text(extract_text(records).select("text"))
+    if kind == "chat":
+        chats = to_chat(records).select("messages")
+        return chats.withColumn("rendered", render_chat(F.col("messages")))
+    raise ValueError(f"unknown kind {kind!r}")

@@ -139,26 +139,34 @@ def train_bpe(
 ) -> Tokenizer:
     """Learn merges from ``(word, freq)`` until ``vocab_size`` or ``min_frequency`` stops it.
 
-    The best pair is the most frequent one, then the one with the lower token ids. Word and
-    pair tables live in the shared folder. A round is one job: words touched since the tables
-    were written give up their old pairs and add their new ones, and the best pairs come
-    back. Only those few rows and the merges, bounded by ``vocab_size``, reach the driver.
+    The best pair is the most frequent one, then the one with the lower token ids. Each round
+    is one job: words touched by the last merges give up their old pairs and add their new
+    ones, and the best pairs come back. Only those few rows and the merges, bounded by
+    ``vocab_size``, reach the driver. Every ``refresh`` merges both tables are written to the
+    shared folder again, which also bounds the work after a lost executor.
     """
     spark = words.sparkSession
     symbols = _Symbols(specials)
     run = scratch_path(spark, "bpe")
     merges: list[tuple[str, str]] = []
     pending: list[tuple[str, str]] = []
-    version = 0
+    written: dict[str, list[str]] = {"words": [], "pairs": []}
 
     def stored(df: DataFrame, name: str) -> DataFrame:
+        """Write the next version of a table and drop the one before the last."""
+        versions = written[name]
+        versions.append(f"{run}/{name}-{len(merges)}")
+        df.write.parquet(versions[-1])
+        for old in versions[:-2]:
+            drop_path(spark, old)
+            versions.remove(old)
+        return spark.read.schema(df.schema).parquet(versions[-1])
+
+    def stored_words(df: DataFrame) -> DataFrame:
         # Every round scans the words, so they are spread over all cores even when small.
-        spread = df.repartition(spark.sparkContext.defaultParallelism) if name == "words" else df
-        path = f"{run}/{name}-{version}"
-        spread.write.parquet(path)
-        return spark.read.parquet(path).persist()
+        return stored(df.repartition(spark.sparkContext.defaultParallelism), "words").persist()
 
-    table = stored(_start_table(words, symbols, continuing_prefix), "words")
+    table = stored_words(_start_table(words, symbols, continuing_prefix))
     pairs = stored(
         _pairs_of(table, F.col("seg"), F.col("freq"))
         .groupBy("l", "r")
@@ -166,22 +174,22 @@ def train_bpe(
         "pairs",
     )
 
-    def current_pairs() -> DataFrame:
-        if not pending:
-            return pairs
-        merged = table.withColumn("now", apply_merges("seg", pending))
-        before = F.struct(F.col("seg"), (-F.col("freq")).alias("freq"))
-        after = F.struct(F.col("now").alias("seg"), F.col("freq"))
-        both = F.when(F.col("now") != F.col("seg"), F.array(before, after))
-        change = _pairs_of(merged.select(F.inline(both)), F.col("seg"), F.col("freq"))
-        return (
-            pairs.unionByName(change).groupBy("l", "r").agg(F.sum("n").alias("n")).filter("n > 0")
+    def recounted(latest: list[tuple[str, str]]) -> DataFrame:
+        earlier = pending[: len(pending) - len(latest)]
+        was = apply_merges("seg", earlier) if earlier else F.col("seg")
+        moved = table.select(was.alias("was"), "freq").withColumn(
+            "now", apply_merges("was", latest)
         )
+        before = F.struct(F.col("was").alias("seg"), (-F.col("freq")).alias("freq"))
+        after = F.struct(F.col("now").alias("seg"), F.col("freq"))
+        both = F.when(F.col("now") != F.col("was"), F.array(before, after))
+        change = _pairs_of(moved.select(F.inline(both)), F.col("seg"), F.col("freq"))
+        summed = pairs.unionByName(change).groupBy("l", "r").agg(F.sum("n").alias("n"))
+        return stored(summed.filter("n > 0"), "pairs")
 
     while len(symbols.tokens) < vocab_size:
         best = (
-            current_pairs()
-            .filter(F.col("n") >= max(min_frequency, 1))
+            pairs.filter(F.col("n") >= max(min_frequency, 1))
             .orderBy(F.desc("n"), "l", "r")
             .limit(top_pairs)
             .collect()
@@ -189,32 +197,26 @@ def train_bpe(
         if not best:
             break
         ranked = [(row.l, row.r, row.n) for row in best]
+        latest: list[tuple[str, str]] = []
         for left, right, _ in ranked[: independent_prefix(ranked, len(best) < top_pairs)]:
             known = len(symbols.tokens)
             pair = symbols.text[left], symbols.text[right]
             merged = symbols.add(pair[0] + pair[1][len(continuing_prefix):])
             merges.append(pair)
-            pending.append((left + right, merged))
+            latest.append((left + right, merged))
             # A token made a second time adds to the pairs it is already part of.
             if len(symbols.tokens) == known or len(symbols.tokens) >= vocab_size:
                 break
-        if len(pending) >= refresh and len(symbols.tokens) < vocab_size:
-            old_table, old_pairs, old = table, pairs, version
-            version += 1
-            pairs = stored(current_pairs(), "pairs")
-            table = stored(
-                table.select(apply_merges("seg", pending).alias("seg"), "freq").filter(
-                    F.length("seg") > 1
-                ),
-                "words",
-            )
+        if len(symbols.tokens) >= vocab_size:
+            break
+        pending += latest
+        pairs = recounted(latest)
+        if len(pending) >= refresh:
+            merged_words = table.select(apply_merges("seg", pending).alias("seg"), "freq")
+            previous, table = table, stored_words(merged_words.filter(F.length("seg") > 1))
+            previous.unpersist()
             pending = []
-            old_table.unpersist()
-            old_pairs.unpersist()
-            drop_path(spark, f"{run}/words-{old}")
-            drop_path(spark, f"{run}/pairs-{old}")
     table.unpersist()
-    pairs.unpersist()
     drop_path(spark, run)
     return Tokenizer(
         tokens=tuple(symbols.tokens),

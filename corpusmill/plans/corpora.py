@@ -7,7 +7,7 @@ import logging
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.operators.records import chunk_text, extract_text, parse_json_strict, to_chat
+from corpusmill.operators.records import prepare_lines, to_chat
 from corpusmill.session import prepare_session
 from corpusmill.sources.arrays import read_json_array
 from corpusmill.sources.lines import detect_layout, read_lines
@@ -19,17 +19,15 @@ log = logging.getLogger(__name__)
 def pretrain_chunks(spark: SparkSession, src: str) -> DataFrame:
     """Chunks of a JSON-lines corpus: one narrow stage, no shuffle."""
     prepare_session(spark)
-    return chunk_text(extract_text(parse_json_strict(read_lines(spark, src))).select("text"))
+    return prepare_lines(read_lines(spark, src), "pretrain")
 
 
 def chat_records(spark: SparkSession, src: str) -> DataFrame:
     """Chat records of a conversation file, whether a JSON array or JSON lines."""
     prepare_session(spark)
     if detect_layout(spark, src) == "array":
-        records = read_json_array(spark, src)
-    else:
-        records = parse_json_strict(read_lines(spark, src))
-    return to_chat(records).select("messages")
+        return to_chat(read_json_array(spark, src)).select("messages")
+    return prepare_lines(read_lines(spark, src), "chat").select("messages")
 
 
 def prepare_pretrain(spark: SparkSession, src: str, dst: str) -> None:

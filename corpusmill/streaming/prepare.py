@@ -2,29 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from corpusmill.functions.chat import render_chat
-from corpusmill.operators.records import chunk_text, extract_text, parse_json_strict, to_chat
+from corpusmill.operators.records import prepare_lines
 from corpusmill.session import prepare_session
 
 
-def prepare_lines(lines: DataFrame, kind: str) -> DataFrame:
-    """The same steps for a batch or a stream of raw lines with a ``value`` column.
-
-    ``pretrain`` gives ``(chunk_idx, text)``, ``chat`` gives ``(messages, rendered)``.
-    """
-    records = parse_json_strict(lines)
-    if kind == "pretrain":
-        return chunk_text(extract_text(records).select("text"))
-    if kind == "chat":
-        chats = to_chat(records).select("messages")
-        return chats.withColumn("rendered", render_chat(F.col("messages")))
-    raise ValueError(f"unknown kind {kind!r}")
-
-
 def stream_prepare(
     spark: SparkSession, src_dir: str, kind: str, out: str, checkpoint: str
 ) -> StreamingQuery:

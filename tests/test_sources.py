@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from corpusmill.operators.records import prepare_lines
 from corpusmill.plans.corpora import prepare_all
 from corpusmill.plans.tokenizer import train_tokenizer
 from corpusmill.sources.arrays import array_elements, read_json_array
@@ -17,7 +18,7 @@ from corpusmill.sources.lines import (
 )
 from corpusmill.sources.sinks import write_jsonl, write_samples
 from corpusmill.sources.tokenizer_store import load_tokenizer
-from corpusmill.streaming.prepare import prepare_lines, stream_prepare
+from corpusmill.streaming.prepare import stream_prepare
 
 
 def write(path, text):

@@ -2,7 +2,6 @@ import random
 import unicodedata
 
 import pytest
-from pyspark.sql import functions as F
 
 from corpusmill.functions import byte_symbols, text
 from corpusmill.operators.records import chunk_text
@@ -92,4 +91,3 @@ def test_byte_symbols_round_trip(spark):
 
 def test_newline_is_the_199th_symbol():
     assert sorted(byte_symbols.SYMBOLS).index(byte_symbols.SYMBOLS[10]) + 5 == 203
-    assert F is not None
