@@ -59,7 +59,9 @@ def chunk_text(
     return df.select(*others, pieces).filter(nonblank(F.col(out)))
 
 
-def to_chat(df: DataFrame, v: str = "v", out: str = "messages", prompt: str = SYSTEM_PROMPT):
+def to_chat(
+    df: DataFrame, v: str = "v", out: str = "messages", prompt: str = SYSTEM_PROMPT
+) -> DataFrame:
     """Raw conversation records to chat records; rows without a usable turn are dropped."""
     return once(df, out, chat_messages(F.col(v), prompt)).filter(F.col(out).isNotNull())
 
