@@ -71,7 +71,7 @@ def test_profile(spark):
     assert tuple(profile.corpus_profile(df.filter("line_no = 2")).first()) == (1, 0, 0, 0)
 
 
-def reference_chat(record):
+def plain_chat(record):
     turns = record.get("conversations")
     if not isinstance(turns, list) or not turns or not all(isinstance(t, dict) for t in turns):
         return None
@@ -98,7 +98,7 @@ def test_to_chat_cases(spark):
     )
     found = records.to_chat(records.parse_json_strict(df)).collect()
     got = {r.i: [(m.role, m.content) for m in r.messages] for r in found}
-    want = {i: reference_chat(c) for i, c in enumerate(cases)}
+    want = {i: plain_chat(c) for i, c in enumerate(cases)}
     assert got == {i: w for i, w in want.items() if w}
 
 
