@@ -53,14 +53,20 @@ def spaced_json(source: Column) -> Column:
 
     Strings are written again with non-ASCII characters in the clear.
     """
-    tokens = F.regexp_extract_all(
-        source, F.lit(r'(?s)"(?:[^"\\]|\\.)*+"|[^\s",:]++|[,:]'), F.lit(0)
+    # Raw control characters cannot occur in JSON strings, so two of them stand in for the
+    # escaped backslash and quote while the strings are found.
+    marked = F.replace(
+        F.replace(source, F.lit("\\\\"), F.lit("\x01")), F.lit('\\"'), F.lit("\x02")
     )
+    tokens = F.regexp_extract_all(marked, F.lit(r'"[^"]*+"|[^\s",:]++|[,:]'), F.lit(0))
 
     def rewrite(t: Column) -> Column:
+        text = F.replace(
+            F.replace(t, F.lit("\x02"), F.lit('\\"')), F.lit("\x01"), F.lit("\\\\")
+        )
         return (
             F.when(t.isin(",", ":"), F.concat(t, F.lit(" ")))
-            .when(t.contains("\\"), F.coalesce(F.to_json(F.try_parse_json(t)), t))
+            .when(text.contains("\\"), F.coalesce(F.to_json(F.try_parse_json(text)), text))
             .otherwise(t)
         )
 

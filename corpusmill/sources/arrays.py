@@ -19,16 +19,21 @@ from corpusmill.operators.steps import once
 BLOCK = ["file", "block"]
 
 
+def _plain(piece: Column) -> Column:
+    """The piece without escape pairs, so that every quote left opens or closes a string."""
+    return F.regexp_replace(piece, r"(?s)\\.", "")
+
+
 def _quotes(piece: Column) -> Column:
-    plain = F.regexp_replace(piece, r"(?s)\\.", "")
+    plain = _plain(piece)
     return F.length(plain) - F.length(F.replace(plain, F.lit('"'), F.lit("")))
 
 
 def _depth(piece: Column) -> Column:
     """Opening minus closing brackets outside strings; the piece starts outside a string."""
-    outside = F.regexp_replace(piece, r'(?s)"(?:[^"\\]|\\.)*+(?:"|\z)', "")
-    opens = F.length(F.regexp_replace(outside, r"[^\[{]", ""))
-    closes = F.length(F.regexp_replace(outside, r"[^\]}]", ""))
+    outside = F.regexp_replace(_plain(piece), r'"[^"]*+(?:"|\z)', "")
+    opens = F.length(F.regexp_replace(outside, r"[^\[{]++", ""))
+    closes = F.length(F.regexp_replace(outside, r"[^\]}]++", ""))
     return opens - closes
 
 

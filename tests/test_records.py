@@ -133,6 +133,7 @@ def test_render_any(spark, record, want):
 
 def test_spaced_json_matches_python(spark):
     values = [{"a": [1, 2, {"x": "a,b:c"}], "b": None, "c": True}, [], {}, [[[]]], "x\\y\"z"]
+    values += [["\\", "\\\"", "\"\\", "\\\\"], {"long": "é, \n\"\\" * 30_000, "plain": "z" * 50_000}]
     rows = [json.dumps(v, separators=(" , ", " :")) for v in values]
     want = [json.dumps(v, ensure_ascii=False) for v in values]
     assert column(spark, rows, spaced_json) == want

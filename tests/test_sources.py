@@ -111,6 +111,11 @@ def test_broken_arrays_fail(small_splits, tmp_path, text):
         array_values(small_splits, write(tmp_path / "f", text))
 
 
+def test_long_strings_in_arrays(spark, tmp_path):
+    values = ["z" * 50_000, "\"\\" * 30_000, {"a": "é" * 20_000}]
+    assert array_values(spark, write(tmp_path / "f", json.dumps(values))) == values
+
+
 def test_array_source_text(small_splits, tmp_path):
     path = write(tmp_path / "f", '[ {"a": 1.0, "b": 2} , 3 ]')
     rows = sorted(array_elements(small_splits, path).select("idx", "value").collect())
