@@ -14,7 +14,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="tables not pr
 
 
 def test_every_sql_has_a_query():
-    assert set(registered.oracle_sql()) == set(registered.queries())
+    assert set(registered.oracle_sql()) <= set(registered.queries())
 
 
 @pytest.mark.parametrize("name", NAMES)
