@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import decontaminate, secrets
+from corpusmill.llm import decontaminate, line_crf, nbsvm, secrets
+from corpusmill.llm.common import remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +21,18 @@ def sha_text(col: Column) -> Column:
     return F.sha2(col.cast("binary"), 256)
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels")
+    model = nbsvm.quality_model(docs, labels, lambda rows: rows.filter(remainder("doc_id", 4) != 2))
+    return nbsvm.scored(docs, model).select(
+        "doc_id",
+        (remainder("doc_id", 4) == 2).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"),
+    )
+
+
 def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.secret_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
     count = lambda kind: F.size(
@@ -35,6 +48,12 @@ def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = line_crf.fit(docs, table(spark, sf_dir, "labels"))
+    return line_crf.line_rules(docs, model).drop("text")
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = decontaminate.benchmark_hits(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -52,7 +71,9 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def all_queries() -> dict[str, Query]:
     return {
+        "op3_quality_classifier": op3_quality_classifier,
         "op6_secret_scans": op6_secret_scans,
+        "op7_quality_rules": op7_quality_rules,
         "op8_decontaminate": op8_decontaminate,
     }
 

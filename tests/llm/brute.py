@@ -56,3 +56,23 @@ def decontaminated(docs, items):
                     found |= got
         out.append((doc_id, len(words), len(hit), len(found), sha(",".join(sorted(found)))))
     return out
+
+
+def quality_rules(text):
+    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed."""
+    b = raw(text)
+    words = SPACED.findall(b)
+    lines, again = set(), 0
+    for line in b.split(b"\n"):
+        if SPACED.search(line):
+            again += line in lines
+            lines.add(line)
+    windows = Counter(tuple(words[i : i + 8]) for i in range(len(words) - 7))
+    hit = set()
+    for i in range(len(words) - 7):
+        if windows[tuple(words[i : i + 8])] > 1:
+            hit.update(range(i, i + 8))
+    chars = sum(len(w.decode()) for w in words)
+    symbols = sum(b.count(bytes([c])) for c in b"#*$%&|<>")
+    failed = len(words) < 20 or 100 * len(hit) > 30 * len(words)
+    return len(words), chars, symbols, again, len(hit), failed
