@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import decontaminate, line_crf, nbsvm, secrets
+from corpusmill.llm import decontaminate, line_crf, nbsvm, ppm, secrets
 from corpusmill.llm.common import remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,13 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = ppm.score_texts(docs, docs.filter(remainder("doc_id", 10) != 0))
+    held_out = (remainder("doc_id", 10) == 0).alias("held_out")
+    return found.select("doc_id", held_out, *[c for c in found.columns if c != "doc_id"])
+
+
 def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.secret_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
     count = lambda kind: F.size(
@@ -72,6 +79,7 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def all_queries() -> dict[str, Query]:
     return {
         "op3_quality_classifier": op3_quality_classifier,
+        "op5_lm_scoring": op5_lm_scoring,
         "op6_secret_scans": op6_secret_scans,
         "op7_quality_rules": op7_quality_rules,
         "op8_decontaminate": op8_decontaminate,

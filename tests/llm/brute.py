@@ -76,3 +76,21 @@ def quality_rules(text):
     symbols = sum(b.count(bytes([c])) for c in b"#*$%&|<>")
     failed = len(words) < 20 or 100 * len(hit) > 30 * len(words)
     return len(words), chars, symbols, again, len(hit), failed
+
+
+def base_scores(docs):
+    """doc_id to held_out, n_tokens, n_known, train_tokens, base score."""
+    import math
+
+    cut = [(i, raw(t).lower(), remainder(i, 10) == 0) for i, t in docs]
+    counts = Counter()
+    for _, b, held in cut:
+        if not held:
+            counts.update([*SPACED.findall(b), None])
+    total, below = counts.total(), counts.total() + 0.1 * (len(counts) + 1)
+    out = {}
+    for i, b, held in cut:
+        tokens = [*SPACED.findall(b), None]
+        score = sum(math.log10((counts[w] + 0.1) / below) for w in tokens)
+        out[i] = held, len(tokens), sum(counts[w] > 0 for w in tokens), total, score
+    return out
