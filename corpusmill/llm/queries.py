@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import decontaminate, line_crf, nbsvm, ppm, secrets
+from corpusmill.llm import decontaminate, id_files, line_crf, nbsvm, packing, ppm, secrets
 from corpusmill.llm.common import remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,6 +76,23 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = id_files.write_ids(table(spark, sf_dir, "documents"))
+    return id_files.read_ids(manifest).select(
+        "doc_id",
+        "start",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.crc32("ids").alias("ids_crc32"),
+    )
+
+
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack_documents(table(spark, sf_dir, "documents"))
+    return packed.select(
+        "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset"
+    )
+
+
 def all_queries() -> dict[str, Query]:
     return {
         "op3_quality_classifier": op3_quality_classifier,
@@ -83,6 +100,8 @@ def all_queries() -> dict[str, Query]:
         "op6_secret_scans": op6_secret_scans,
         "op7_quality_rules": op7_quality_rules,
         "op8_decontaminate": op8_decontaminate,
+        "op9_token_id_files": op9_token_id_files,
+        "op10_best_fit_packing": op10_best_fit_packing,
     }
 
 

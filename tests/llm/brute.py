@@ -94,3 +94,17 @@ def base_scores(docs):
         score = sum(math.log10((counts[w] + 0.1) / below) for w in tokens)
         out[i] = held, len(tokens), sum(counts[w] > 0 for w in tokens), total, score
     return out
+
+
+def all_ids(texts):
+    """Ids of each whole text with the end id, by the library alone."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    coder = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    found = coder.encode_batch([t or "" for t in texts], add_special_tokens=False)
+    return [[*e.ids, 0] for e in found]
+
+
+def crc_ids(ids):
+    return zlib.crc32(b"".join(i.to_bytes(4, "little") for i in ids))
