@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import decontaminate, id_files, line_crf, nbsvm, packing, ppm, secrets
+from corpusmill.llm import decontaminate, id_files, line_crf, nbsvm, packing, ppm, secrets, url_rules
 from corpusmill.llm.common import remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,25 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# The host and path rules of the URL query.
+URL_RULES = [
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+]
+
+
+def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    labels = table(spark, sf_dir, "labels").select(
+        F.col("doc_id").alias("page_id"), ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad")
+    )
+    found = url_rules.judged(pages, pages.join(labels, "page_id"), URL_RULES)
+    return found.select("page_id", "host", "path", "rule", "verdict")
+
+
 def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = ppm.score_texts(docs, docs.filter(remainder("doc_id", 10) != 0))
@@ -96,6 +115,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def all_queries() -> dict[str, Query]:
     return {
         "op3_quality_classifier": op3_quality_classifier,
+        "op4_url_filters": op4_url_filters,
         "op5_lm_scoring": op5_lm_scoring,
         "op6_secret_scans": op6_secret_scans,
         "op7_quality_rules": op7_quality_rules,
