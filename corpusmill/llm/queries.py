@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import decontaminate, id_files, line_crf, nbsvm, packing, ppm, secrets, url_rules
+from corpusmill.llm import decontaminate, id_files, line_crf, nbsvm, packing, ppm, repeats, secrets, url_rules
 from corpusmill.llm.common import remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,17 @@ def sha_text(col: Column) -> Column:
     return F.sha2(col.cast("binary"), 256)
 
 
+def op2_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = repeats.without_repeats(table(spark, sf_dir, "documents"))
+    return left.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels")
@@ -114,6 +125,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def all_queries() -> dict[str, Query]:
     return {
+        "op2_repeated_strings": op2_repeated_strings,
         "op3_quality_classifier": op3_quality_classifier,
         "op4_url_filters": op4_url_filters,
         "op5_lm_scoring": op5_lm_scoring,

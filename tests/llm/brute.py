@@ -108,3 +108,25 @@ def all_ids(texts):
 
 def crc_ids(ids):
     return zlib.crc32(b"".join(i.to_bytes(4, "little") for i in ids))
+
+
+def without_repeats(docs, length=400):
+    """doc_id, n_bytes, n_removed, n_spans, digest per (id, text) row."""
+    texts = [raw(t) for _, t in docs]
+    times = Counter(t[i : i + length] for t in texts for i in range(len(t) - length + 1))
+    out = []
+    for (doc_id, _), t in zip(docs, texts):
+        runs = []
+        for i in range(len(t) - length + 1):
+            if times[t[i : i + length]] > 1:
+                if runs and i <= runs[-1][1]:
+                    runs[-1][1] = i + length
+                else:
+                    runs.append([i, i + length])
+        keep, at = b"", 0
+        for a, b in runs:
+            keep += t[at:a]
+            at = b
+        keep += t[at:]
+        out.append((doc_id, len(t), len(t) - len(keep), len(runs), sha(keep)))
+    return out
