@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import decontaminate, id_files, line_crf, nbsvm, packing, ppm, repeats, secrets, url_rules
+from corpusmill.llm import decontaminate, id_files, line_crf, nbsvm, packing, ppm, repeats, secrets, sketch_join, url_rules
 from corpusmill.llm.common import remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,10 @@ def sha_text(col: Column) -> Column:
     return F.sha2(col.cast("binary"), 256)
 
 
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketch_join.similar_components(table(spark, sf_dir, "documents")).drop("text_hash")
+
+
 def op2_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = repeats.without_repeats(table(spark, sf_dir, "documents"))
     return left.select(
@@ -125,6 +129,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def all_queries() -> dict[str, Query]:
     return {
+        "op1_jaccard_join": op1_jaccard_join,
         "op2_repeated_strings": op2_repeated_strings,
         "op3_quality_classifier": op3_quality_classifier,
         "op4_url_filters": op4_url_filters,

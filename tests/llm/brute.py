@@ -130,3 +130,39 @@ def without_repeats(docs, length=400):
         keep += t[at:]
         out.append((doc_id, len(t), len(t) - len(keep), len(runs), sha(keep)))
     return out
+
+
+def jaccard_components(docs, size=3, part=9, whole=10):
+    """doc_id, n_shingles, component_id per row, by comparing all sets that share a shingle."""
+    sets = []
+    for _, t in docs:
+        words = SPACED.findall(raw(t).lower())
+        n = min(size, len(words))
+        sets.append(frozenset(tuple(words[i : i + n]) for i in range(len(words) - n + 1)) if n else frozenset())
+    label = list(range(len(docs)))
+
+    def root(x):
+        while label[x] != x:
+            x = label[x]
+        return x
+
+    # Similar sets share one of the rarest shingles of each.
+    times = Counter(s for own in sets for s in own)
+    index = {}
+    for i, own in enumerate(sets):
+        order = sorted(own, key=lambda s: (times[s], s))
+        for s in order[: len(own) - len(own) * part // whole + 1]:
+            index.setdefault(s, []).append(i)
+    seen = set()
+    for group in index.values():
+        for x, i in enumerate(group):
+            for j in group[:x]:
+                if (i, j) not in seen:
+                    seen.add((i, j))
+                    both = len(sets[i] & sets[j])
+                    if both * whole >= part * (len(sets[i]) + len(sets[j]) - both):
+                        label[root(i)] = root(j)
+    least = {}
+    for i, (doc_id, _) in enumerate(docs):
+        least[root(i)] = min(doc_id, least.get(root(i), doc_id))
+    return [(d, len(s), least[root(i)]) for i, ((d, _), s) in enumerate(zip(docs, sets))]
