@@ -191,8 +191,9 @@ def mask_secrets(docs: DataFrame, mask: str = "[SECRET]", rule: EntropyRule | No
     The columns stay as they are, but for ``n_chars``, which follows the text where it is there.
     """
     names = docs.columns
-    inner = docs.select([F.col(c) for c in names], F.col("text").alias("_before"))
-    found = secret_spans(inner.select(F.struct(*names).alias("_row"), F.col("_before").alias("text")), rule)
+    # Under numbered names no column of the documents clashes with those of the scan.
+    numbered = [docs[c].alias(f"_{i}") for i, c in enumerate(names)]
+    found = secret_spans(docs.select(*numbered, "text"), rule)
     none = F.array().cast("array<struct<start:int,end:int>>")
 
     def join(seen: Column, span: Column) -> Column:
@@ -223,12 +224,12 @@ def mask_secrets(docs: DataFrame, mask: str = "[SECRET]", rule: EntropyRule | No
         merged, "_clean", F.when(F.size("_merged") > 0, masked).otherwise(F.col("text"))
     )
     columns = []
-    for c in names:
+    for i, c in enumerate(names):
+        old = F.col(f"_{i}")
         if c == "text":
-            columns.append(F.col("_clean").alias(c))
+            old = F.col("_clean")
         elif c == "n_chars":
             length = F.length("_clean").cast(docs.schema[c].dataType)
-            columns.append(F.when(F.size("_merged") > 0, length).otherwise(F.col("_row")[c]).alias(c))
-        else:
-            columns.append(F.col("_row").getField(c).alias(c))
+            old = F.when(F.size("_merged") > 0, length).otherwise(old)
+        columns.append(old.alias(c))
     return cleaned.select(*columns)

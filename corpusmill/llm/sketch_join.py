@@ -431,11 +431,15 @@ def linked_nodes(docs: DataFrame, near: Similarity, block: int = BLOCK) -> tuple
     return sets.select("doc_id", "text_hash", "n", "node"), links
 
 
+def _placed(docs: DataFrame, near: Similarity, block: int) -> DataFrame:
+    """``(doc_id, text_hash, n, node, root)``; the root is the component's name."""
+    rows, links = linked_nodes(docs, near, block)
+    return rows.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+
 def similar_components(docs: DataFrame, near: Similarity | None = None, block: int = BLOCK) -> DataFrame:
     """``(doc_id, text_hash, n_shingles, component_id)``: the smallest id of the component."""
-    near = near or Similarity()
-    rows, links = linked_nodes(docs, near, block)
-    placed = rows.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    placed = _placed(docs, near or Similarity(), block)
     # An empty set is linked with nothing, not even with another.
     linked, alone = placed.filter("n > 0"), placed.filter("n = 0")
     least = linked.groupBy("root").agg(F.min("doc_id").alias("component_id"))
@@ -445,3 +449,24 @@ def similar_components(docs: DataFrame, near: Similarity | None = None, block: i
         .select(*columns)
         .unionByName(alone.withColumn("component_id", F.col("doc_id")).select(*columns))
     )
+
+
+def one_of_each(docs: DataFrame, near: Similarity | None = None, block: int = BLOCK) -> DataFrame:
+    """The document of the smallest id of each component; all columns stay.
+
+    Of repeated rows one stays. Documents with empty sets stay.
+    """
+    placed = _placed(docs, near or Similarity(), block)
+    equal = placed.filter("n > 0").groupBy("root", "doc_id", "text_hash").agg(F.count("*").alias("rows"))
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "rows")
+    first = equal.groupBy("root").agg(F.min(order).alias("first")).select("first.*")
+    empty = placed.filter("n = 0").groupBy("doc_id", "text_hash").agg(F.lit(1).cast("long").alias("rows"))
+    chosen, _ = kept(first.drop("no_id").unionByName(empty), "chosen")
+    chosen = chosen.withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash", "rows": "_rows"})
+    same = docs["doc_id"].eqNullSafe(chosen["_id"]) & (
+        F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == chosen["_hash"]
+    )
+    row = F.struct(*[docs[c] for c in docs.columns]).alias("_row")
+    found = docs.join(chosen, same).select(row, "_id", "_hash", "_rows")
+    several = found.filter("_rows > 1").dropDuplicates(["_id", "_hash"])
+    return found.filter("_rows = 1").unionByName(several).select("_row.*")
