@@ -1,0 +1,124 @@
+"""Decontamination, secret scans and URL filters against plain versions."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from corpusmill.llm import decontaminate, secrets, url_rules
+from tests.llm import brute
+from tests.llm.conftest import ITEMS, tuples
+
+
+def digests(hits):
+    listed = F.array_join(F.sort_array("items"), ",").cast("binary")
+    return tuples(
+        hits.select(
+            "doc_id", "n_words", decontaminate.covered(F.col("spans")).alias("n_hit"),
+            F.size("items").alias("n_items"), F.sha2(listed, 256).alias("digest"),
+        ), "doc_id", "n_words", "n_hit", "n_items", "digest",
+    )
+
+
+@pytest.mark.parametrize("max_set", [100_000, 3])
+def test_windows_equal_brute_force(docs, benchmark, pairs, max_set):
+    found = digests(decontaminate.benchmark_hits(docs, benchmark, max_set=max_set))
+    assert found == sorted(brute.decontaminated(pairs, ITEMS), key=repr)
+    assert sum(row[2] > 0 for row in found) == 3
+
+
+def test_windows_without_benchmark_or_documents(docs, empty, benchmark):
+    none = benchmark.filter("false")
+    assert all(row[2] == 0 for row in digests(decontaminate.benchmark_hits(docs, none)))
+    assert digests(decontaminate.benchmark_hits(empty, benchmark)) == []
+
+
+def test_contaminated_documents_go(docs, benchmark, pairs):
+    left = decontaminate.drop_contaminated(docs, benchmark)
+    assert left.columns == docs.columns
+    hit = {i for i, _, n, *_ in brute.decontaminated(pairs, ITEMS) if n}
+    assert sorted(map(repr, (r.doc_id for r in left.collect()))) == sorted(repr(i) for i, _ in pairs if i not in hit)
+
+
+def test_secret_spans_equal_brute_force(docs, pairs):
+    found = secrets.secret_spans(docs)
+    rows = found.select("doc_id", "base", "spans", F.col("text")).collect()
+    assert len(rows) == len(pairs)
+    for row in rows:
+        base = [tuple(s) for s in row.base]
+        assert base == brute.secret_base(row.text)[4], row.text
+        assert set(base) <= {tuple(s) for s in row.spans}
+    assert secrets.secret_spans(docs.filter("false")).count() == 0
+
+
+def test_entropy_adds_only_random_strings(docs):
+    rows = secrets.secret_spans(docs).filter("size(spans) > size(base)").collect()
+    added = [r.text[s.start : s.end] for r in rows for s in r.spans if s.kind == 3]
+    assert added == ["Zx9Kq2Lm8Vn4Bt7Yw1RcPd3"]
+
+
+def test_window_entropy_is_that_of_its_counts(spark):
+    import math
+    from collections import Counter
+
+    text = "aA1" * 12 + "Zx9Kq2Lm8Vn4Bt7Yw1RcPd3QsT5uH6" + "bB2" * 12
+    rule = secrets.EntropyRule(mixed_bits=4.0)
+    windows = [text[i : i + 20] for i in range(len(text) - 19)]
+    bits = [-sum(c / 20 * math.log2(c / 20) for c in Counter(w).values()) for w in windows]
+    good = [i for i, b in enumerate(bits) if b >= 4.0]
+    row = secrets.secret_spans(spark.createDataFrame([(1, text)], "doc_id long, text string"), rule).first()
+    assert [tuple(s) for s in row.spans] == [(good[0], 3, good[-1] + 20)]
+
+
+def test_masks_replace_merged_spans(docs):
+    masked = {r.doc_id: r for r in secrets.mask_secrets(docs).collect()}
+    assert secrets.mask_secrets(docs).columns == docs.columns
+    for row in docs.collect():
+        spans = brute.secret_base(row.text)[4]
+        text = masked[row.doc_id].text
+        if not spans and row.text is not None and "Zx9K" not in row.text:
+            assert text == row.text and masked[row.doc_id].n_chars == row.n_chars
+        for start, _, end in spans:
+            assert row.text[start:end] not in text
+        if "[SECRET]" in (text or ""):
+            assert masked[row.doc_id].n_chars == len(text)
+            assert not re.search("[0-9a-f]{16,}", text)
+
+
+RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("com", "/de/", "block")]
+
+
+def test_fixed_rules_take_the_longest(spark):
+    urls = [
+        ("http://A.Example.ORG/es/x?y", "a.example.org", "/es/x", "example.org/es/", "block"),
+        ("http://notexample.org/es/x", "notexample.org", "/es/x", "org/", "allow"),
+        ("x://org/#f", "org", "/", "org/", "allow"),
+        ("http://a.org", "a.org", "", None, "allow"),
+        ("http://a.com/de", "a.com", "/de", None, "allow"),
+        ("http://a.com/de/?q=://b.org/", "a.com", "/de/", "com/de/", "block"),
+        ("no scheme", "", "", None, "allow"),
+        (None, "", "", None, "allow"),
+        ("a://b://c.com/de/", "b:", "//c.com/de/", None, "allow"),
+    ]
+    pages = spark.createDataFrame([(i, u[0], 9) for i, u in enumerate(urls)], "page_id int, url string, rule int")
+    none = spark.createDataFrame([], "url string, bad boolean")
+    found = tuples(url_rules.judged(pages, none, RULES), "page_id", "host", "path", "rule", "verdict")
+    assert found == sorted(((i, *u[1:]) for i, u in enumerate(urls)), key=repr)
+
+
+def test_mined_rules_find_a_planted_combination(spark):
+    rows = []
+    for k in range(200):
+        bad = k % 4 == 0
+        host = "casino" if k % 2 == 0 else f"h{k}"
+        rows.append((f"http://{host}.net/{'win' if bad else 'news'}/{k}", bad))
+        rows.append((f"http://other{k % 7}.net/win/{k}", False))
+    labelled = spark.createDataFrame(rows, "url string, bad boolean")
+    rules = url_rules.mine_rules(labelled).collect()
+    assert [sorted(r.tokens) for r in rules] == [["h:casino", "p:win"]]
+    pages = spark.createDataFrame(
+        [(1, "https://casino.net/win/9"), (2, "https://casino.net/news/9"), (3, "https://x.net/win/1"), (1, "https://casino.net/win/9"), (4, None)],
+        "page_id int, url string",
+    )
+    found = tuples(url_rules.judged(pages, labelled, []), "page_id", "verdict")
+    assert found == [(1, "block"), (1, "block"), (2, "allow"), (3, "allow"), (4, "allow")]
