@@ -1,4 +1,9 @@
-"""Strict JSON: one value per text, nothing after it."""
+"""Strict JSON: one value per text, nothing after it.
+
+Strings and numbers may have any length. Two limits stay: a VARIANT holds at most 128 MiB, and
+values nested deeper than 1,000 are refused, since the parser's recursion would end the
+executor. Texts beyond them are told apart from malformed ones by :func:`beyond_limits`.
+"""
 
 from __future__ import annotations
 
@@ -8,20 +13,49 @@ from pyspark.sql import functions as F
 from corpusmill.functions.text import strip
 
 
+# Limits of the VARIANT type and of the parser's nesting.
+VARIANT_BYTES = 128 << 20
+MAX_DEPTH = 1000
+
+OPTIONS = {
+    "maxStringLen": str((1 << 31) - 1),
+    "maxNumLen": str((1 << 31) - 1),
+    "allowSingleQuotes": "false",
+    "allowNonNumericNumbers": "false",
+}
+
+
+def _listed(col: Column) -> Column:
+    return F.concat(F.lit("["), col, F.lit("]"))
+
+
 def parse_strict(col: Column) -> Column:
     """VARIANT of the single JSON value in the text, null when malformed.
 
-    ``try_parse_json`` ignores trailing text. Wrapping the text in an array shows trailing
-    text, trailing commas and several values; wrapping it in an object shows ``… ] [``.
+    The parser ignores trailing text. Wrapping the text in an array shows trailing text,
+    trailing commas and several values; wrapping it in an object shows ``… ] [``.
     """
-    items = F.try_variant_get(
-        F.try_parse_json(F.concat(F.lit("["), col, F.lit("]"))), "$", "array<variant>"
-    )
-    wrapped = F.try_parse_json(F.concat(F.lit('{"v":'), col, F.lit("}")))
+    items = F.from_json(_listed(col), "array<variant>", OPTIONS)
+    wrapped = F.from_json(F.concat(F.lit('{"v":'), col, F.lit("}")), "variant", OPTIONS)
     single = (F.size(items) == 1) & wrapped.isNotNull()
     return F.when(F.coalesce(single, F.lit(False)), F.get(items, F.lit(0)))
 
 
+def large_string(col: Column, key: str) -> Column:
+    """Text under a key of a record that is too large for a VARIANT; null for smaller ones."""
+    rows = F.from_json(_listed(col), f"array<struct<`{key}`:string>>", OPTIONS)
+    found = F.when(F.size(rows) == 1, F.get(rows, F.lit(0))[key])
+    return F.when(F.octet_length(col) > VARIANT_BYTES // 2, found)
+
+
+def beyond_limits(col: Column) -> Column:
+    """For a text that gives no VARIANT: ``too_large``, ``too_deep``, or null if malformed."""
+    opened = F.length(col) - F.length(F.translate(col, "[{", ""))
+    return F.when(F.octet_length(col) > VARIANT_BYTES // 2, "too_large").when(
+        opened >= MAX_DEPTH, "too_deep"
+    )
+
+
 def parse_line(col: Column) -> Column:
     return parse_strict(strip(col))
 

@@ -58,7 +58,8 @@ def _nfkc_parts(parts: pa.Array) -> pa.Array:
 
 def _unstable(col: Column) -> Column:
     """True when NFKC may change the text: a non-ASCII character outside the stable blocks."""
-    return F.rlike(col, F.lit(f"[^\\x00-\\x7f](?<![{NFKC_STABLE}])"))
+    other = F.octet_length(col) != F.length(col)
+    return other & F.rlike(col, F.lit(f"[^\\x00-\\x7f](?<![{NFKC_STABLE}])"))
 
 
 def normalize_parts(parts: Column) -> Column:

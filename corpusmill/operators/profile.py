@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.functions.strict_json import parse_line
 from corpusmill.operators.ranks import take_lines
-from corpusmill.operators.records import line_reason, text_of
+from corpusmill.operators.records import line_reason, record_text
 from corpusmill.operators.steps import once
 
 
@@ -41,7 +41,7 @@ def corpus_profile(
 ) -> DataFrame:
     """Profile of the first raw lines of a numbered corpus (all of them with ``None``)."""
     head = take_lines(lines, first_n)
-    parsed = once(head, "text", text_of(parse_line(F.col(value))))
+    parsed = once(once(head, "_v", parse_line(F.col(value))), "text", record_text(F.col(value), F.col("_v")))
     return profile_texts(parsed, by)
 
 

@@ -11,24 +11,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from corpusmill.session import shared_dir
-
-# One row per input split is sent to every task up to this many splits (about 40 MB, a corpus
-# of 25 TB at 128 MB per split). Larger tables are joined by shuffle.
-SMALL_ROWS = 200_000
+# Rows of a bucket that one task sorts for a rank.
+BUCKET_ROWS = 50_000
 
 DEFAULT_MAX_LINES = 100_000
 TRAINING_BATCH = 10_000
 EPOCH_SEED = 42
 
 
-def with_small(table: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
-    """Materialise a per-split table and mark it for broadcast if its counted rows allow it."""
-    shared_dir(table.sparkSession)
-    kept = table.checkpoint()
-    return F.broadcast(kept) if kept.count() <= max_rows else kept
-
-
 def block_offsets(counts: DataFrame, keys: list[str], n: str, out: str) -> DataFrame:
     """Rows before each bucket. The only unpartitioned window; it sees one row per bucket."""
     earlier = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
@@ -61,11 +51,21 @@ def _div(value: Column, by: int) -> Column:
 
 
 def rank_by_id(
-    df: DataFrame, id_col: str, out: str = "rank", width: int = 1 << 20
+    df: DataFrame, id_col: str, out: str = "rank", bucket_rows: int = BUCKET_ROWS
 ) -> DataFrame:
-    """0-based rank by a unique integer id; ``width`` ids at most share a bucket."""
-    keyed = df.withColumn("_range", _div(F.col(id_col) - F.pmod(F.col(id_col), F.lit(width)), width))
-    return global_rank(keyed, ["_range"], [id_col], out).drop("_range")
+    """0-based rank by a unique integer id.
+
+    Buckets are equal ranges between the least and the greatest id, one for about
+    ``bucket_rows`` rows, so the table of buckets is small however sparse the ids are.
+    """
+    ends = df.agg(F.min(id_col).alias("low"), F.max(id_col).alias("high"), F.count(id_col).alias("n"))
+    low, high, n = ends.first()
+    low, high = low or 0, high or 0
+    width = max(1, -(-(high - low + 1) // max(1, -(-n // bucket_rows))))
+    # The distance from the least id may need more than 64 bits.
+    place = F.col(id_col).cast("decimal(38,0)") - F.lit(low).cast("decimal(38,0)")
+    bucket = F.call_function("div", place, F.lit(str(width)).cast("decimal(38,0)"))
+    return global_rank(df.withColumn("_range", bucket), ["_range"], [id_col], out).drop("_range")
 
 
 def take_lines(

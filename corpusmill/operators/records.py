@@ -6,7 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.functions.chat import SYSTEM_PROMPT, chat_messages, render_any, render_chat
-from corpusmill.functions.strict_json import kind, member, parse_line, string_member
+from corpusmill.functions.strict_json import (
+    beyond_limits,
+    kind,
+    large_string,
+    member,
+    parse_line,
+    string_member,
+)
 from corpusmill.functions.text import CHUNK_SIZE, chunks, nonblank, strip
 from corpusmill.operators.steps import once
 
@@ -25,6 +32,12 @@ def text_of(record: Column) -> Column:
     return F.when(text != "", text)
 
 
+def record_text(value: Column, v: Column) -> Column:
+    """The ``text`` of a raw line and its parsed record, which is null for a very large one."""
+    large = large_string(strip(value), "text")
+    return F.coalesce(text_of(v), F.when(v.isNull() & (large != ""), large))
+
+
 def extract_text(df: DataFrame, v: str = "v", out: str = "text") -> DataFrame:
     return once(df, out, text_of(F.col(v))).filter(F.col(out).isNotNull())
 
@@ -34,7 +47,8 @@ def line_reason(value: Column, v: Column) -> Column:
     text_kind = kind(member(v, "text"))
     return (
         F.when(~nonblank(value), "blank_line")
-        .when(v.isNull(), "malformed")
+        .when(v.isNull() & nonblank(record_text(value, v)), "kept")
+        .when(v.isNull(), F.coalesce(beyond_limits(value), F.lit("malformed")))
         .when(kind(v) != "OBJECT", "not_object")
         .when(member(v, "text").isNull(), "missing_text")
         .when(text_kind == "VOID", "empty_text")
@@ -47,7 +61,14 @@ def line_reason(value: Column, v: Column) -> Column:
 
 def valid_texts(lines: DataFrame, value: str = "value", out: str = "text") -> DataFrame:
     """Rows whose text is a non-blank string: the tokenizer's training input."""
-    return extract_text(parse_json_strict(lines, value), out=out).filter(nonblank(F.col(out)))
+    return line_texts(lines, value, out).filter(nonblank(F.col(out)))
+
+
+def line_texts(lines: DataFrame, value: str = "value", out: str = "text") -> DataFrame:
+    """Rows with the record ``v`` and its non-empty text, of whatever length."""
+    parsed = parse_json_strict(lines, value, keep_malformed=True)
+    texts = once(parsed, out, record_text(F.col(value), F.col("v")))
+    return texts.filter(F.col(out).isNotNull())
 
 
 def chunk_text(
@@ -77,10 +98,9 @@ def prepare_lines(lines: DataFrame, kind: str) -> DataFrame:
 
     ``pretrain`` gives ``(chunk_idx, text)``, ``chat`` gives ``(messages, rendered)``.
     """
-    records = parse_json_strict(lines)
     if kind == "pretrain":
-        return chunk_text(extract_text(records).select("text"))
+        return chunk_text(line_texts(lines).select("text"))
     if kind == "chat":
-        chats = to_chat(records).select("messages")
+        chats = to_chat(parse_json_strict(lines)).select("messages")
         return chats.withColumn("rendered", render_chat(F.col("messages")))
     raise ValueError(f"unknown kind {kind!r}")

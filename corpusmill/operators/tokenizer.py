@@ -112,7 +112,8 @@ class Tokenizer:
                 return bytes(byte_of[c] for c in token).hex()
             return token.encode("utf-8").hex()
 
-        table = F.lit([hex_of(t) for t in self.tokens])
+        # One literal, cut once when the plan is made.
+        table = F.split(F.lit(",".join(map(hex_of, self.tokens))), ",", -1)
         pieces = F.transform(ids, lambda i: F.coalesce(F.get(table, i), F.lit("")))
         return hex_to_text(F.array_join(pieces, ""))
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from corpusmill.operators.records import prepare_lines, to_chat
 from corpusmill.session import prepare_session
 from corpusmill.sources.arrays import read_json_array
-from corpusmill.sources.lines import detect_layout, read_lines
+from corpusmill.sources.lines import files_of_layout, read_lines
 from corpusmill.sources.sinks import write_jsonl
 
 log = logging.getLogger(__name__)
@@ -23,11 +24,16 @@ def pretrain_chunks(spark: SparkSession, src: str) -> DataFrame:
 
 
 def chat_records(spark: SparkSession, src: str) -> DataFrame:
-    """Chat records of a conversation file, whether a JSON array or JSON lines."""
+    """Chat records of conversation files; each is read as a JSON array or as JSON lines."""
     prepare_session(spark)
-    if detect_layout(spark, src) == "array":
-        return to_chat(read_json_array(spark, src)).select("messages")
-    return prepare_lines(read_lines(spark, src), "chat").select("messages")
+    arrays = files_of_layout(spark, src, "array")
+    lines = files_of_layout(spark, src, "jsonl")
+    parts = []
+    if arrays:
+        parts.append(to_chat(read_json_array(spark, arrays)).select("messages"))
+    if lines or not arrays:
+        parts.append(prepare_lines(read_lines(spark, lines or src), "chat").select("messages"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def prepare_pretrain(spark: SparkSession, src: str, dst: str) -> None:

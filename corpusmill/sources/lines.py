@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from corpusmill.functions.text import nonblank, strip
-from corpusmill.operators.ranks import block_offsets, with_small
+from corpusmill.operators.ranks import block_offsets
 
 BLOCK = ["file", "block"]
 
@@ -30,16 +32,20 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
 def number_lines(lines: DataFrame, out: str = "line_no") -> DataFrame:
     """Add the 1-based line number over all files in path order.
 
-    Only the table of file blocks is aggregated; the text itself is not shuffled while
-    that table is small enough to be sent to every task.
+    Lines and the table of their blocks are parts of one lazy plan, so they see the same
+    splits whenever it runs; a line whose block is not in the table fails the query. The table
+    has one row per input split (some 150 bytes for 128 MB of text, 120 MB for 100 TB) and is
+    sent to every task; the text is not shuffled.
     """
     blocks = lines.groupBy(*BLOCK).agg(
         F.count(F.lit(1)).alias("n"), F.min("seq").alias("first_seq")
     )
     offsets = block_offsets(blocks, BLOCK, "n", "before").drop("n")
+    lost = F.raise_error(F.concat(F.lit("input splits changed while it was read: "), "file"))
+    number = F.col("before") + F.col("seq") - F.col("first_seq") + 1
     return (
-        lines.join(with_small(offsets), BLOCK)
-        .withColumn(out, F.col("before") + F.col("seq") - F.col("first_seq") + 1)
+        lines.join(F.broadcast(offsets), BLOCK, "left")
+        .withColumn(out, F.when(F.col("before").isNotNull(), number).otherwise(lost.cast("bigint")))
         .drop("before", "first_seq")
     )
 
@@ -90,16 +96,28 @@ def _layout(first_char: Column) -> Column:
 
 
 def layouts(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """``(file, layout)``: ``array`` when the first non-blank character is ``[``, else ``jsonl``."""
+    """``(file, layout)`` of every file, an empty one included.
+
+    ``array`` when the first non-blank character is ``[``, else ``jsonl``.
+    """
     first_char = F.substring(strip(F.col("value")), 1, 1)
     place = F.struct("block", "seq")
-    return (
+    filled = nonblank(F.col("value"))
+    seen = (
         read_lines(spark, path)
         .groupBy("file")
-        .agg(F.min_by(F.when(nonblank(F.col("value")), first_char),
-                      F.when(nonblank(F.col("value")), place)).alias("c"))
-        .select("file", _layout(F.col("c")).alias("layout"))
+        .agg(F.min_by(F.when(filled, first_char), F.when(filled, place)).alias("c"))
     )
+    # A scan has no row for an empty file; the driver lists the files of an input anyway.
+    names = [re.sub("^file:/+", "file:/", f) for f in spark.read.text(path).inputFiles()]
+    files = spark.createDataFrame([(name,) for name in names], "file string")
+    return files.join(seen, "file", "left").select("file", _layout(F.col("c")).alias("layout"))
+
+
+def files_of_layout(spark: SparkSession, path: str | list[str], layout: str) -> list[str]:
+    """Paths of the files of a layout; the driver lists the files of an input anyway."""
+    found = layouts(spark, path).filter(F.col("layout") == layout)
+    return [row.file for row in found.collect()]
 
 
 def detect_layout(spark: SparkSession, path: str) -> str:

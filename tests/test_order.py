@@ -70,12 +70,14 @@ def test_lookup(partitions):
     assert [r.row_id for r in ranks.lookup_rows(rows, wanted).collect()] == [3]
 
 
-def test_large_side_is_joined_without_broadcast(spark):
-    table = spark.range(20)
-    assert ranks.with_small(table, 5).count() == 20
-    hinted = ranks.with_small(table)._jdf.queryExecution().logical().toString()
-    plain = ranks.with_small(table, 5)._jdf.queryExecution().logical().toString()
-    assert "broadcast" in hinted and "broadcast" not in plain
+def test_rank_buckets_follow_the_rows(spark):
+    """Dense and sparse ids are spread over several buckets, and nothing is lost."""
+    for step in (1, 10**15):
+        df = spark.range(1000).select((F.col("id") * step - 7).alias("id"))
+        rows = ranks.rank_by_id(df, "id", bucket_rows=100).collect()
+        assert sorted((r["rank"], r.id) for r in rows) == [(k, k * step - 7) for k in range(1000)]
+    empty = spark.range(0)
+    assert ranks.rank_by_id(empty, "id").count() == 0
 
 
 def test_epoch_plan_moves_rows_once(spark):

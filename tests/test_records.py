@@ -147,3 +147,23 @@ def test_render_chat_skips_other_roles(spark):
     )
     text = df.select(chat.render_chat(F.col("m"), add_generation_prompt=True)).first()[0]
     assert text == frame("user", "q") + frame("assistant", "") + "<|im_start|>assistant\n"
+
+
+def test_long_records_are_kept_and_limits_are_named(spark):
+    from corpusmill.operators.profile import scan_report
+    from corpusmill.operators.records import prepare_lines, valid_texts
+
+    lines = spark.createDataFrame(
+        [(1, 21_000_000, "a"), (2, 140_000_000, "b")], "k int, n int, c string"
+    ).select("k", F.concat(F.lit('{"text": "'), F.expr("repeat(c, n)"), F.lit('"}')).alias("value"))
+    number = '{"text": "x", "n": ' + "7" * 1200 + "}"
+    deep = '{"text": "x", "n": ' + "[" * 1100 + "]" * 1100 + "}"
+    wide = spark.range(1).select(
+        F.concat(F.lit('{"other": "'), F.expr("repeat('c', 140000000)"), F.lit('"}')).alias("value")
+    )
+    rest = spark.createDataFrame([(number,), (deep,), ("{",), ("{'text': 'x'}",)], "value string")
+    found = {r.reason: r.lines for r in scan_report(lines.select("value").union(rest).union(wide)).collect()}
+    assert found == {"kept": 3, "too_deep": 1, "malformed": 2, "too_large": 1}
+    sizes = valid_texts(lines).select("k", F.length("text").alias("n")).collect()
+    assert sorted(map(tuple, sizes)) == [(1, 21_000_000), (2, 140_000_000)]
+    assert prepare_lines(lines.filter("k = 1"), "pretrain").count() == -(-21_000_000 // 512)
