@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.llm import decontaminate, id_files, line_crf, nbsvm, packing, ppm, repeats, secrets, sketch_join, url_rules
 from corpusmill.llm.common import remainder
+from corpusmill.llm.oracle import all_sql  # noqa: F401
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -140,7 +141,3 @@ def all_queries() -> dict[str, Query]:
         "op9_token_id_files": op9_token_id_files,
         "op10_best_fit_packing": op10_best_fit_packing,
     }
-
-
-def all_sql() -> dict[str, str]:
-    return {}
