@@ -480,7 +480,7 @@ SELECT lang, lines, rows, chars, chars // greatest(rows, 1) AS mean_chars FROM (
 
 _SQL["chunk_profile"] = f"WITH {CHUNKS} {_profile('chunks')}"
 _SQL["corpus_profile"] = (
-    f"WITH {RAW_TEXT} {_profile('(SELECT * FROM texts WHERE line_no <= 10000)')}"
+    f"WITH {RAW_TEXT} {_profile('(SELECT * FROM texts WHERE line_no <= 600)')}"
 )
 _SQL["scan_report"] = f"""
 WITH {RAW_TEXT}

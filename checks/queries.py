@@ -465,7 +465,7 @@ def chunk_profile(spark, sf):
 
 @query
 def corpus_profile(spark, sf):
-    return profile.corpus_profile(I.raw_lines(spark, sf), 10_000, ["lang"])
+    return profile.corpus_profile(I.raw_lines(spark, sf), 600, ["lang"])
 
 
 @query

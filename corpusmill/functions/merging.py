@@ -5,11 +5,14 @@ from __future__ import annotations
 import heapq
 from collections.abc import Callable, Mapping
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-# Words remembered per Python worker while encoding; the rest are merged again when met.
-WORD_MEMO = 200_000
+# Longer words, in bytes, are merged with a queue of their own.
+LONG_WORD = 256
+# Above every pair of ids and every rank.
+NO_PAIR = (1 << 63) - 1
 
 
 def merge_symbols(
@@ -44,43 +47,101 @@ def merge_symbols(
     return [i for i in ids if i is not None]
 
 
-def word_encoder(
-    whole_words: Mapping[str, int],
-    first_byte: list[int],
-    later_byte: list[int],
-    ranks: Mapping[tuple[int, int], tuple[int, int]],
-) -> Callable[[str], list[int]]:
-    """Function giving the ids of one word; ``whole_words`` are never cut (special tokens)."""
+class WordMerger:
+    """Merges many words at once.
 
-    def encode_word(word: str) -> list[int]:
-        if word in whole_words:
-            return [whole_words[word]]
-        data = word.encode("utf-8")
-        ids = [first_byte[b] for b in data[:1]] + [later_byte[b] for b in data[1:]]
-        return merge_symbols(ids, ranks)
-
-    return encode_word
-
-
-def array_encoder(encode_word: Callable[[str], list[int]]) -> Callable[[pa.Array], pa.Array]:
-    """Lift a word function to Arrow lists of words.
-
-    Each distinct word of a batch is merged once; Arrow spreads the ids to the rows.
+    The symbols of all words lie in one array. A round looks up the rank of every neighbouring
+    pair, merges the best pair of each word, the first of equal ones, and goes on with the
+    words that changed. A few very long words are merged one by one.
     """
-    memo: dict[str, list[int]] = {}
 
-    def ids_of(word: str) -> list[int]:
-        ids = memo.get(word)
-        if ids is None:
-            ids = encode_word(word)
-            if len(memo) < WORD_MEMO:
-                memo[word] = ids
-        return ids
+    def __init__(
+        self,
+        whole_words: Mapping[str, int],
+        first_byte: list[int],
+        later_byte: list[int],
+        ranks: Mapping[tuple[int, int], tuple[int, int]],
+    ):
+        self.whole_words, self.ranks = dict(whole_words), dict(ranks)
+        self.first, self.later = np.array(first_byte, np.int64), np.array(later_byte, np.int64)
+        order = sorted((left << 32 | right, rank, merged) for (left, right), (rank, merged) in ranks.items())
+        table = np.array(order, np.int64).reshape(-1, 3)
+        # A last row that no pair equals and that is never the best.
+        self.pairs, self.rank, self.merged = np.append(table, [[NO_PAIR] * 3], axis=0).T.copy()
+
+    def encode(self, words: list[str]) -> pa.ListArray:
+        """Ids of each word; whole words are never cut (special tokens)."""
+        plain, numbers, ids, owner = [], [], [], []
+        for i, word in enumerate(words):
+            data = word.encode("utf-8")
+            if word in self.whole_words:
+                own = [self.whole_words[word]]
+            elif len(data) > LONG_WORD:
+                codes = np.frombuffer(data, np.uint8)
+                own = [*self.first[codes[:1]].tolist(), *self.later[codes[1:]].tolist()]
+                own = merge_symbols(own, self.ranks)
+            else:
+                plain.append(data)
+                numbers.append(i)
+                continue
+            ids += own
+            owner += [i] * len(own)
+        flat, of = self._merged(plain)
+        flat = np.concatenate([flat, np.array(ids, np.int64)])
+        of = np.concatenate([np.array(numbers, np.int64)[of], np.array(owner, np.int64)])
+        flat = flat[np.argsort(of, kind="stable")].astype(np.int32)
+        offsets = np.concatenate([[0], np.cumsum(np.bincount(of, minlength=len(words)))])
+        return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(flat))
+
+    def _merged(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words, those of a word in order, and the word of each."""
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        owner = np.repeat(np.arange(len(words)), sizes)
+        codes = np.frombuffer(b"".join(words), np.uint8)
+        ids = self.later[codes]
+        starts = (np.cumsum(sizes) - sizes)[sizes > 0]
+        ids[starts] = self.first[codes[starts]]
+        rank = np.full(len(ids), NO_PAIR)
+        into = np.zeros(len(ids), np.int64)
+        fresh = np.arange(len(ids))
+        done_ids, done_owner = [], []
+        while len(ids):
+            # Pairs that begin at the places where a symbol or its neighbour is new.
+            pair = fresh[fresh + 1 < len(ids)]
+            pair = pair[owner[pair] == owner[pair + 1]]
+            keys = ids[pair] << 32 | ids[pair + 1]
+            place = np.searchsorted(self.pairs, keys)
+            place = np.where(self.pairs[place] == keys, place, len(self.pairs) - 1)
+            rank[fresh] = NO_PAIR
+            rank[pair], into[pair] = self.rank[place], self.merged[place]
+
+            begins = np.append(True, owner[1:] != owner[:-1])
+            best = np.minimum.reduceat(rank, np.flatnonzero(begins))
+            word = np.cumsum(begins) - 1
+            stay = (best < NO_PAIR)[word]
+            done_ids.append(ids[~stay])
+            done_owner.append(owner[~stay])
+            hits = np.flatnonzero(stay & (rank == best[word]))
+            hits = hits[np.append(True, word[hits[1:]] != word[hits[:-1]])[: len(hits)]]
+            ids[hits] = into[hits]
+            stay[hits + 1] = False
+            new_place = np.cumsum(stay) - 1
+            ids, owner, rank, into = ids[stay], owner[stay], rank[stay], into[stay]
+            fresh = np.concatenate([new_place[hits], new_place[hits] - 1])
+            fresh = fresh[fresh >= 0]
+        return np.concatenate([*done_ids, ids]), np.concatenate([*done_owner, owner])
+
+
+def array_encoder(merger: WordMerger) -> Callable[[pa.Array], pa.Array]:
+    """Lift the merger to Arrow lists of words.
+
+    Each distinct word of a batch is merged once, all of them together; Arrow spreads the ids
+    to the rows.
+    """
 
     def encode_rows(rows: pa.Array) -> pa.Array:
         words = rows.flatten().dictionary_encode()
-        distinct = [ids_of(w) for w in words.dictionary.to_pylist()]
-        ids = pa.array(distinct, pa.list_(pa.int32())).take(words.indices)
+        ids = merger.encode(words.dictionary.to_pylist()).take(words.indices)
         zero = pa.array([0], pa.int64())
         word_ends = pc.cumulative_sum(pc.list_value_length(ids).cast(pa.int64()))
         row_ends = pc.cumulative_sum(

@@ -6,7 +6,6 @@ task needs — merges and token names — is bounded by the vocabulary size.
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import cached_property
 
@@ -15,7 +14,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.functions.byte_symbols import SYMBOLS, hex_to_text
 from corpusmill.functions.chat import TURN_END, TURN_START
-from corpusmill.functions.merging import array_encoder, word_encoder
+from corpusmill.functions.merging import WordMerger, array_encoder
 from corpusmill.functions.text import normalize_parts, pretokenize, split_special
 
 # Fixed values -------------------------------------------------------------
@@ -76,15 +75,19 @@ class Tokenizer:
         return ranks
 
     @cached_property
-    def encode_word(self) -> Callable[[str], list[int]]:
-        """Ids of one pre-token, or of one special token."""
-        return word_encoder(
+    def merger(self) -> WordMerger:
+        """Ids of pre-tokens and special tokens."""
+        return WordMerger(
             {token: self.ids[token] for token in self.specials},
             [self.token_id(s) for s in SYMBOLS],
             [self.token_id(self.continuing_prefix + s) for s in SYMBOLS],
             self.pair_ranks,
         )
 
+    def encode_word(self, word: str) -> list[int]:
+        """Ids of one pre-token, or of one special token."""
+        return self.merger.encode([word])[0].as_py()
+
     # Column expressions ---------------------------------------------------
 
     def words(self, parts: Column, clean: Column) -> Column:
@@ -99,7 +102,7 @@ class Tokenizer:
         return F.flatten(found)
 
     def ids_of(self, words: Column) -> Column:
-        return F.arrow_udf(array_encoder(self.encode_word), "array<int>")(words)
+        return F.arrow_udf(array_encoder(self.merger), "array<int>")(words)
 
     def decode(self, ids: Column, skip_special: bool = False) -> Column:
         """Text of the ids; unknown ids give nothing, broken UTF-8 gives U+FFFD."""
