@@ -13,7 +13,13 @@ from itertools import chain
 
 import numpy as np
 
-MEMO = 400_000
+from corpusmill.functions.byte_symbols import SYMBOLS
+
+SYMBOL_OF = dict(enumerate(SYMBOLS))
+MEMO = 1_000_000
+
+# A piece may end in some of these: they are a token run of their own after letters.
+TAIL = ".,;:!?*%&$#|"
 
 def vocabulary(path: str | None = None) -> str:
     """Text of the tokenizer file; by default the public 50k byte-level vocabulary."""
@@ -34,6 +40,18 @@ def _pieces(text: str) -> list[str] | None:
     return own if len(text.split()) == len(own) - (not own[0]) else None
 
 
+class _Numbers(dict):
+    """Pieces by number; a new piece gets the next one and waits to be encoded."""
+
+    def __init__(self):
+        self.waiting: list[str] = []
+
+    def __missing__(self, piece: str) -> int:
+        self.waiting.append(piece)
+        number = self[piece] = len(self)
+        return number
+
+
 class Encoder:
     """Encodes texts to ``uint32`` ids, without special tokens added; ``end_id`` may follow."""
 
@@ -42,69 +60,95 @@ class Encoder:
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_str(vocabulary(path))
         self.end = np.array([] if end_id is None else [end_id], np.uint32)
         specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, specials))) if specials else None
-        # A line end encoded alone separates the pieces when many are encoded in one call.
-        lone = self.tokenizer.encode("\n", add_special_tokens=False).ids
-        two = self.tokenizer.encode(" a\n b", add_special_tokens=False).ids
-        ends = [*self._whole(" a"), *lone, *self._whole(" b")]
-        self.cut = lone[0] if len(lone) == 1 and two == ends else None
+        # The parts of a piece can be told apart only where the file asks for nothing but bytes.
+        self.plain = (
+            isinstance(self.tokenizer.pre_tokenizer, ByteLevel) and self.tokenizer.normalizer is None
+        )
+        self.model = self.tokenizer.model
+        self.line_end = self._whole("\n")
         self._clear()
 
     def _whole(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def _clear(self) -> None:
-        self.known: dict[str, int] = {}
-        self.flat, self.starts, self.sizes = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
-
-    def _learn(self, pieces: list[str]) -> None:
-        """Add pieces: a word that follows a space, or, with a line end first, a line's first word."""
-        plain = [p for p in pieces if "\n" not in p]
-        lines = [p for p in pieces if "\n" in p]
-        flats, sizes = [self.flat], [self.sizes]
-        for start in range(0, len(plain), 2000):
-            part = plain[start : start + 2000]
-            ids = np.array(self._whole(" " + "\n ".join(part) + "\n"), np.uint32)
-            ends = np.flatnonzero(ids == self.cut)
-            sizes.append(np.diff(ends, prepend=-1) - 1)
-            flats.append(ids[ids != self.cut])
-            if len(ends) != len(part):
-                raise ValueError("the separator is part of a piece")
-        if lines:
-            found = self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)
-            sizes.append(np.array([len(e) for e in found], np.int64))
-            flats.append(np.concatenate([np.array(e.ids, np.uint32) for e in found]))
-        for piece in plain + lines:
-            self.known[piece] = len(self.known)
-        self.flat, self.sizes = np.concatenate(flats), np.concatenate(sizes)
+        self.known = _Numbers()
+        self.tails: dict[str, list[int]] = {"": []}
+        self.flat, self.sizes = np.empty(0, np.uint32), np.empty(0, np.int64)
+        self.starts = self.sizes
+
+    def _word(self, word: str) -> list[int]:
+        """A word of letters, or a space and one: a single run, so the model alone has its ids."""
+        if word.isascii():
+            symbols = word.replace(" ", SYMBOL_OF[32])
+        else:
+            symbols = word.encode().decode("latin-1").translate(SYMBOL_OF)
+        return [token.id for token in self.model.tokenize(symbols)]
+
+    def _learn(self) -> None:
+        """Encode the waiting pieces: a word after a space, or a line end and a line's first word."""
+        pieces, self.known.waiting = self.known.waiting, []
+        flat: list[int] = []
+        sizes: list[int] = []
+        words: dict[str, list[int]] = {}
+        for piece in pieces:
+            stem = piece.rstrip(TAIL)
+            starts_line = stem[:1] == "\n"
+            letters = stem[1:] if starts_line else stem
+            if letters.isalpha():
+                word = letters if starts_line else " " + letters
+                ids = words.get(word)
+                if ids is None:
+                    ids = words[word] = self._word(word)
+                if starts_line:
+                    ids = self.line_end + ids
+                if len(stem) < len(piece):
+                    tail = piece[len(stem) :]
+                    if tail not in self.tails:
+                        self.tails[tail] = self._whole(tail)
+                    ids = ids + self.tails[tail]
+            else:
+                ids = self._whole(piece if piece[:1] == "\n" else " " + piece)
+            flat += ids
+            sizes.append(len(ids))
+        self.flat = np.append(self.flat, np.array(flat, np.uint32))
+        self.sizes = np.append(self.sizes, np.array(sizes, np.int64))
         self.starts = np.cumsum(self.sizes) - self.sizes
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text, the end id last."""
-        pieces = [
-            None if self.cut is None or (self.special and self.special.search(t)) else _pieces(t)
-            for t in texts
-        ]
         if len(self.known) > MEMO:
             self._clear()
-        fresh = dict.fromkeys(chain.from_iterable(own[1:] for own in pieces if own))
-        self._learn([p for p in fresh if p not in self.known])
+        number = self.known.__getitem__
+        cut: list[tuple[str, np.ndarray] | None] = []
+        for text in texts:
+            usual = self.plain and text and not (self.special and self.special.search(text))
+            own = _pieces(text) if usual else None
+            if own is None:
+                cut.append(None)
+                continue
+            # A text that starts with a line end has an empty first piece.
+            cut.append((own[0], np.fromiter(map(number, own[1:]), np.int64, len(own) - 1)))
+        self._learn()
         out = []
-        for text, own in zip(texts, pieces):
+        for text, own in zip(texts, cut):
             if own is None:
                 ids = [np.array(self._whole(text), np.uint32)] if text else []
             else:
-                # A text that starts with a line end has an empty first piece.
-                ids = [np.array(self._whole(own[0]), np.uint32)] if own[0] else []
-                if len(own) > 1:
-                    place = np.fromiter(map(self.known.__getitem__, own[1:]), np.int64, len(own) - 1)
-                    size = self.sizes[place]
-                    shift = self.starts[place] - (np.cumsum(size) - size)
-                    ids.append(self.flat[np.repeat(shift, size) + np.arange(size.sum())])
+                first, place = own
+                size = self.sizes[place]
+                shift = self.starts[place] - (np.cumsum(size) - size)
+                ids = [self.flat[np.repeat(shift, size) + np.arange(size.sum())]]
+                if first.isalpha():
+                    ids.insert(0, np.array(self._word(first), np.uint32))
+                elif first:
+                    ids.insert(0, np.array(self._whole(first), np.uint32))
             out.append(np.concatenate([*ids, self.end]))
         return out
 
