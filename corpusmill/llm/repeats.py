@@ -231,7 +231,10 @@ def _settled(places: DataFrame, label: str) -> tuple[DataFrame, DataFrame]:
         F.count("*").alias("n"), F.min("coarse").alias("least"), F.max("coarse").alias("most")
     )
     shared = counted.filter("n > 1").select(*fine, (F.col("least") != F.col("most")).alias("open"))
+    # Written first: a join with a counted side as it stands cannot split a hot bucket.
+    shared, path = kept(shared, f"{label}-counted")
     own, _ = kept(places.join(shared, fine), f"{label}-shared")
+    dropped(shared, path)
     rest = [c for c in own.columns if c not in coarse]
     one, _ = kept(
         own.groupBy(*coarse).agg(F.count("*").alias("n"), *[F.first(c).alias(c) for c in rest]),
