@@ -1,18 +1,20 @@
 """N-gram Jaccard join by parity sketches.
 
-A document's set holds its distinct word shingles. Every shingle flips one bit of a sketch, so
-the Hamming distance of two sketches is at most the size of the sets' symmetric difference, and
-a Jaccard similarity of t allows a difference of (a + b)(1 - t)/(1 + t) for set sizes a and b.
-Sizes fall into bands; a band's sketch has one piece of 64 bits more than the greatest allowed
-difference of its pairs, so that two similar sets agree in a piece at least. A set is also put
-into the next band if a partner may be there.
+A document's set holds its distinct word shingles. Every shingle flips one bit of a parity
+sketch, so the Hamming distance of two sketches is at most the size of the sets' symmetric
+difference, and a Jaccard similarity of t allows a difference of (a + b)(1 - t)/(1 + t) for set
+sizes a and b. Sizes fall into bands. In a band the shingles are dealt to more pieces than the
+greatest difference D of its pairs, and the hashes in a piece are XORed to one 64-bit word. Of
+D + 1 + e pieces, two similar sets agree in e + 1 at least; so a set with at most e empty pieces
+leaves those out, and still agrees with its partners in a piece that both have. A set is also
+put into the next band if a partner may be there.
 
 Sets that are equal form one node. Nodes that share a piece meet in a bucket:
 
 * of two nodes: they are a candidate pair;
-* of more: sketches (folded to a quarter) are compared by Hamming distance, and a spanning
-  forest of the pairs that pass, closest first, are the candidates. Buckets of many nodes are
-  cut into blocks, and every two blocks are compared by a task of their own.
+* of more: their parity sketches are compared by Hamming distance, and a spanning forest of the
+  pairs that pass, closest first, are the candidates. Buckets of many nodes are cut into blocks,
+  and every two blocks are compared by a task of their own.
 
 Candidates are verified on the texts' shingle sets. If a pair of a forest fails, all pairs of
 its bucket that pass and lie across the parts still linked are verified as well. So no link
@@ -101,25 +103,41 @@ class Similarity:
         own = int(np.searchsorted(self.edges, n))
         return [own, own + 1] if self.partner(n) > self.edges[own] else [own]
 
-    def pieces(self, band: int) -> int:
+    def pieces(self, band: int) -> tuple[int, int]:
+        """Number of pieces of a band, and how many empty ones a set may leave out."""
         edge = self.edges[band]
-        return int(self.difference(edge, edge)) + 1
+        most = int(self.difference(edge, edge))
+        spare = 1 + most // 8
+        return most + 1 + spare, spare
+
+
+def pieces(keys: np.ndarray, number: int, spare: int) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the pieces to be joined on, and their words."""
+    place = ((keys >> np.uint64(20)) % np.uint64(number)).astype(np.int64)
+    words = np.zeros(number, np.uint64)
+    np.bitwise_xor.at(words, place, keys)
+    filled = np.bincount(place, minlength=number) > 0
+    if number - filled.sum() > spare:
+        filled[:] = True
+    return np.flatnonzero(filled), words[filled]
+
+
+def sketch(keys: np.ndarray) -> np.ndarray:
+    """Parity bits of a set, at least two per shingle; their number is a power of two."""
+    width = max(256, 1 << int(2 * len(keys) - 1).bit_length())
+    bits = np.bincount((keys & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.uint64)
 
 
-def sketch(keys: np.ndarray, pieces: int) -> np.ndarray:
-    """Parity bits of the shingles, as one 64-bit word per piece."""
-    place = (keys >> np.uint64(20)) % np.uint64(pieces) * np.uint64(64) + (keys & np.uint64(63))
-    bits = np.bincount(place.astype(np.int64), minlength=pieces * 64) & 1
-    return np.packbits(bits.astype(np.uint8)).view(np.uint64)
+def folded(words: np.ndarray, width: int) -> np.ndarray:
+    """The same sketch with fewer words; distances only become smaller."""
+    return np.bitwise_xor.reduce(words.reshape(-1, width), axis=0)
 
 
-def folded(words: np.ndarray) -> np.ndarray:
-    """A sketch of about a quarter of the words; distances only become smaller."""
-    width = max(min(len(words), 8), -(-len(words) // 4))
-    rows = -(-len(words) // width)
-    padded = np.zeros(rows * width, np.uint64)
-    padded[: len(words)] = words
-    return np.bitwise_xor.reduce(padded.reshape(rows, width), axis=0)
+def _node(keys: np.ndarray) -> int:
+    """Name of a set."""
+    both = np.bitwise_xor.reduce(keys, keepdims=True) + keys.sum(keepdims=True)
+    return int(_mixed(both).view(np.int64)[0])
 
 
 def _set_rows(near: Similarity):
@@ -129,60 +147,50 @@ def _set_rows(near: Similarity):
             out = []
             for text in byte_texts(batch):
                 keys = shingles(text, near.words, memo)
-                node = int(_mixed(np.bitwise_xor.reduce(keys, keepdims=True) + keys.sum(keepdims=True))[0]) if len(keys) else 0
-                # The sketches of a set are needed once; equal sets are common in one task.
-                fresh = len(keys) and node not in met
-                found = [(b, sketch(keys, near.pieces(b)).tobytes()) for b in near.bands(len(keys))] if fresh else []
+                node = _node(keys) if len(keys) else 0
+                # The sketch of a set is needed once; equal sets are common in one task.
+                fresh = node not in met and near.bands(len(keys))
+                out.append((len(keys), node, sketch(keys).tobytes() if fresh else None))
                 met.add(node)
-                found += [(None, None)] * (2 - len(found))
-                out.append((len(keys), np.uint64(node).astype(np.int64), *found[0], *found[1]))
             if len(met) > 1_000_000:
                 met.clear()
-            columns = zip(*out)
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int32(), pa.binary()]
+            kinds = [pa.int64(), pa.int64(), pa.binary()]
+            columns = [pa.array(c, k) for c, k in zip(zip(*out), kinds)]
             yield pa.record_batch(
-                [
-                    batch.column("doc_id"),
-                    batch.column("text_hash"),
-                    *[pa.array(c, k) for c, k in zip(columns, kinds)],
-                ],
-                ["doc_id", "text_hash", "n", "node", "band", "sketch", "band2", "sketch2"],
+                [batch.column("doc_id"), batch.column("text_hash"), *columns],
+                ["doc_id", "text_hash", "n", "node", "sketch"],
             )
 
     return run
 
 
-def _piece_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row per piece: its bucket, from band, number and bits, and the node."""
-    for batch in slices(batches, 2000):
-        keys, nodes, bands = [], [], []
-        for row in batch.to_pylist():
-            words = np.frombuffer(row["sketch"], np.uint64)
-            label = np.arange(len(words), dtype=np.uint64) << np.uint64(8) | np.uint64(row["band"])
-            keys.append(_mixed(_mixed(words + _STEP) + label))
-            nodes.append(np.full(len(words), row["node"]))
-            bands.append(np.full(len(words), row["band"], np.int32))
-        if keys:
-            yield pa.record_batch(
-                [
-                    pa.array(np.concatenate(keys).view(np.int64)),
-                    pa.array(np.concatenate(nodes)),
-                    pa.array(np.concatenate(bands)),
-                ],
-                ["key", "node", "band"],
-            )
+def _piece_rows(near: Similarity):
+    """A row per piece: its bucket, from band, number and word, and the node."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memo, met = _Words(), set()
+        for batch in slices(batches, 1000):
+            names, nodes = [], []
+            for text in byte_texts(batch):
+                keys = shingles(text, near.words, memo)
+                bands = near.bands(len(keys))
+                if not bands or (node := _node(keys)) in met:
+                    continue
+                met.add(node)
+                for band in bands:
+                    number, words = pieces(keys, *near.pieces(band))
+                    label = number.astype(np.uint64) << np.uint64(8) | np.uint64(band)
+                    names.append(_mixed(_mixed(words + _STEP) + label))
+                    nodes.append(np.full(len(number), node))
+            if len(met) > 1_000_000:
+                met.clear()
+            if names:
+                yield pa.record_batch(
+                    [pa.array(np.concatenate(names).view(np.int64)), pa.array(np.concatenate(nodes))],
+                    ["key", "node"],
+                )
 
-def _fold_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        sketches = [
-            None if s is None else folded(np.frombuffer(s, np.uint64)).tobytes()
-            for s in batch.column("sketch").to_pylist()
-        ]
-        yield pa.record_batch(
-            [batch.column("node"), batch.column("n"), batch.column("band"), pa.array(sketches, pa.binary())],
-            ["node", "n", "band", "fold"],
-        )
+    return run
 
 
 def _passing(sketches: np.ndarray, sizes: np.ndarray, near: Similarity) -> np.ndarray:
@@ -247,13 +255,16 @@ def _bucket_rows(near: Similarity, again: bool):
     """
 
     def candidates(rows: list[dict]) -> list[tuple[int, int]]:
-        nodes = {r["node"]: r for r in rows if r["fold"] is not None}
+        nodes = {r["node"]: r for r in rows if r["sketch"] is not None}
         names = sorted(nodes)
-        place = {v: i for i, v in enumerate(names)}
-        sketches = np.stack([np.frombuffer(nodes[v]["fold"], np.uint64) for v in names])
+        width = min(len(nodes[v]["sketch"]) for v in names) // 8
+        sketches = np.stack([folded(np.frombuffer(nodes[v]["sketch"], np.uint64), width) for v in names])
         distance = _passing(sketches, np.array([nodes[v]["n"] for v in names]), near)
+        close = np.flatnonzero((distance < np.iinfo(np.int32).max).any(axis=1))
+        names, distance = [names[i] for i in close], distance[np.ix_(close, close)]
+        place = {v: i for i, v in enumerate(names)}
         if again:
-            pairs = [(place[r["node"]], place[r["other"]], r["linked"]) for r in rows if r["fold"] is None]
+            pairs = [(place[r["node"]], place[r["other"]], r["linked"]) for r in rows if r["sketch"] is None]
             found = _across(
                 distance, [p[:2] for p in pairs if p[2]], [p[:2] for p in pairs if not p[2]]
             )
@@ -363,34 +374,18 @@ def linked_nodes(docs: DataFrame, near: Similarity, block: int = BLOCK) -> tuple
     """
     texts = docs.select("doc_id", whole_text().alias("text")).withColumn("text_hash", F.xxhash64("text"))
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    schema = (
-        f"doc_id {id_type}, text_hash long, n long, node long, "
-        "band int, sketch binary, band2 int, sketch2 binary"
-    )
-    sets, _ = kept(texts.mapInArrow(_set_rows(near), schema), "sketches")
-    nodes, _ = kept(
-        sets.filter("band is not null").dropDuplicates(["node"]).select(
-            "doc_id",
-            "text_hash",
-            "node",
-            "n",
-            F.inline(
-                F.array(
-                    F.struct("band", "sketch"),
-                    F.struct(F.col("band2").alias("band"), F.col("sketch2").alias("sketch")),
-                )
-            ),
-        ).filter("band is not null"),
-        "nodes",
-    )
-    pieces = nodes.select("node", "band", "sketch").mapInArrow(_piece_rows, "key long, node long, band int")
-    sizes = pieces.selectExpr("*", "count(*) over (partition by key) as size")
-    shared, _ = kept(sizes.filter("size > 1"), "buckets")
+    schema = f"doc_id {id_type}, text_hash long, n long, node long, sketch binary"
+    sets, _ = kept(texts.mapInArrow(_set_rows(near), schema), "sets")
+    nodes, _ = kept(sets.filter("sketch is not null").dropDuplicates(["node"]), "nodes")
+    dealt = texts.mapInArrow(_piece_rows(near), "key long, node long")
+    # A set met by several tasks has its rows several times.
+    met = dealt.selectExpr(
+        "*", "min(node) over (partition by key) as low", "max(node) over (partition by key) as high"
+    ).filter("low < high")
+    sizes = met.select("key", "node").distinct().selectExpr("*", "count(*) over (partition by key) as size")
+    shared, _ = kept(sizes, "buckets")
 
     two = shared.filter("size = 2").groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("b"))
-    folds = nodes.select("node", "n", "band", "sketch").mapInArrow(
-        _fold_rows, "node long, n long, band int, fold binary"
-    )
     blocks = F.ceil(F.col("size") / block).cast("int")
     own = F.pmod(F.xxhash64("node"), blocks).cast("int")
     # Every block meets every block, itself included when it is the only one.
@@ -400,7 +395,9 @@ def linked_nodes(docs: DataFrame, near: Similarity, block: int = BLOCK) -> tuple
     )
     meets = F.filter(meets, lambda m: (blocks == 1) | (m["i"] != m["j"]))
     many, _ = kept(
-        shared.filter("size > 2").select("key", "node", "band", F.inline(meets)).join(folds, ["node", "band"]),
+        shared.filter("size > 2")
+        .select("key", "node", F.inline(meets))
+        .join(nodes.select("node", "n", "sketch"), "node"),
         "compared",
     )
     forest, _ = kept(_compared(many, near, again=False), "forest")
@@ -418,13 +415,16 @@ def linked_nodes(docs: DataFrame, near: Similarity, block: int = BLOCK) -> tuple
     tried = forest.join(first, ["a", "b"])
     open_buckets = tried.filter("not linked").select(*bucket).distinct()
     members = many.join(open_buckets, bucket, "left_semi").select(
-        *bucket, "node", "n", "fold", F.lit(None).cast("long").alias("other"), F.lit(None).cast("boolean").alias("linked")
+        *bucket, "node", "n", "sketch", F.lit(None).cast("long").alias("other"), F.lit(None).cast("boolean").alias("linked")
     )
     known = tried.join(open_buckets, bucket, "left_semi").select(
         *bucket, F.col("a").alias("node"), F.lit(None).cast("long").alias("n"),
-        F.lit(None).cast("binary").alias("fold"), F.col("b").alias("other"), "linked",
+        F.lit(None).cast("binary").alias("sketch"), F.col("b").alias("other"), "linked",
     )
-    more = _compared(members.unionByName(known), near, again=True).select("a", "b").distinct()
+    # Written first: a union of two inputs that are dealt by bucket already is not dealt anew,
+    # although their parts need not meet in one task.
+    opened, _ = kept(members.unionByName(known), "opened")
+    more = _compared(opened, near, again=True).select("a", "b").distinct()
     more = more.join(first, ["a", "b"], "left_anti")
     second, _ = kept(_verified(more, active_texts, near), "verified-again")
     links = first.unionByName(second).filter("linked").select("a", "b")

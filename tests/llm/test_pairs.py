@@ -49,11 +49,34 @@ def test_sketch_distance_is_a_lower_bound():
     for n in (3, 50, 700):
         a = rng.integers(0, 1 << 63, n, dtype=np.uint64)
         b = np.concatenate([a[n // 4 :], rng.integers(0, 1 << 63, n // 3, dtype=np.uint64)])
-        for pieces in (1, 9, 40):
-            x, y = sketch_join.sketch(a, pieces), sketch_join.sketch(b, pieces)
-            whole = np.bitwise_count(x ^ y).sum()
-            fold = np.bitwise_count(sketch_join.folded(x) ^ sketch_join.folded(y)).sum()
-            assert fold <= whole <= len(np.setxor1d(a, b))
+        x, y = sketch_join.sketch(a), sketch_join.sketch(b)
+        for width in (4, 2, 1):
+            x, y = (sketch_join.folded(v, min(width * 8, len(v))) for v in (x, y))
+            shorter = min(len(x), len(y))
+            apart = np.bitwise_count(sketch_join.folded(x, shorter) ^ sketch_join.folded(y, shorter)).sum()
+            assert apart <= len(np.setxor1d(a, b))
+
+
+def test_similar_sets_share_a_piece():
+    rng = np.random.default_rng(4)
+    for near in (sketch_join.Similarity(), sketch_join.Similarity(5, 4, 5)):
+        for n in (10, 12, 19, 40, 300, 2000):
+            for _ in range(20):
+                a = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+                cut = int(near.difference(n, n)) // 2
+                b = np.concatenate([a[cut:], rng.integers(0, 1 << 63, cut, dtype=np.uint64)])
+                both = len(np.intersect1d(a, b))
+                if both * near.whole < (2 * n - both) * near.part:
+                    continue
+                met = set()
+                for keys in (a, b):
+                    own = {
+                        (band, k, w)
+                        for band in near.bands(n)
+                        for k, w in zip(*map(np.ndarray.tolist, sketch_join.pieces(keys, *near.pieces(band))))
+                    }
+                    assert not met or met & own
+                    met = own
 
 
 def test_failed_forest_edges_open_the_pairs_across():
