@@ -36,21 +36,24 @@ KINDS = ("assign", "access", "hex", "entropy")
 class EntropyRule:
     """When a window of a candidate string counts as random.
 
-    ``candidate`` cuts candidate strings. Strings of the class ``hex`` and of the class
-    ``mixed`` (both cases and a digit) have a threshold in bits for each character; other
-    strings are words. ``allowed`` suppresses candidates: plain words and numbers, dates,
-    identifiers joined by hyphens or underscores, and strings with long runs of one character.
+    ``candidate`` cuts candidate strings. Each window has the threshold, in bits for each
+    character, of the first class it fits; others are words or numbers. Separators count for no
+    class. Windows that overlap or touch make a run; ``allowed`` suppresses whole runs: plain
+    words and numbers, joined by separators or not, dates, alphabets and repeated characters.
     """
 
     window: int = 20
     candidate: str = r"[A-Za-z0-9+/_=-]{20,}+"
-    hex_class: str = r"^(?:[0-9a-f]*[a-f][0-9a-f]*|[0-9A-F]*[A-F][0-9A-F]*)$"
+    hex_class: str = r"^(?:(?=.*[a-f])[0-9a-f+/_=-]+|(?=.*[A-F])[0-9A-F+/_=-]+)$"
     mixed_class: str = r"(?s)^(?=.*[a-z])(?=.*[A-Z])(?=.*[0-9])"
     hex_bits: float = 2.8
     mixed_bits: float = 3.5
+    # Possessive groups: they are matched in a loop, however long the run is.
     allowed: str = (
-        r"^[A-Za-z]+$|^[0-9]+$|^[-_=+/]+$|^\d{4}-\d\d-\d\d|^(?:[A-Za-z]+[-_/=+])+[A-Za-z]+[0-9]?$"
-        r"|(.)\1{7,}|0123456789abcdef|abcdefghijklm"
+        r"^(?:[-_=+/]++|(?:[0-9]++|[A-Z]++|[a-z]*+(?:[A-Z][a-z]{2,})*+(?:[A-Z][a-z]?)?+)"
+        r"(?=[-_=+/]|[0-9]?$))*+[0-9]?$"
+        r"|^(?:abcdefghijklm(?:nopqrstuvwxyz)?+|ABCDEFGHIJKLM(?:NOPQRSTUVWXYZ)?+"
+        r"|0123456789(?:abcdef|ABCDEF)?+|(.)\1{7,}+|[-_=+/])++$"
     )
 
 
@@ -89,12 +92,17 @@ def _long_enough(text: Column) -> Column:
     return F.transform(values, lambda v: F.length(v) >= ASSIGN_LEAST)
 
 
-def _random_part(found: Column, rule: EntropyRule) -> Column:
-    """``(first, last)``: start of the first and end of the last random window, or null."""
+def _random_parts(found: Column, rule: EntropyRule) -> Column:
+    """``array<struct<first, last>>``: starts and ends of all maximal runs of random windows."""
     window = rule.window
-    bits = F.when(F.rlike(found, F.lit(rule.hex_class)), rule.hex_bits).when(
-        F.rlike(found, F.lit(rule.mixed_class)), rule.mixed_bits
-    )
+    classes = [
+        (rule.hex_class, rule.hex_bits),
+        (rule.mixed_class, rule.mixed_bits),
+    ]
+    lowest = min(bits for _, bits in classes)
+    whole = F.lit(None).cast("double")
+    for pattern, least in reversed(classes):
+        whole = F.when(F.rlike(found, F.lit(pattern)), F.lit(float(least))).otherwise(whole)
     chars = F.split(found, "", -1)
 
     def weight(n: Column) -> Column:
@@ -115,31 +123,74 @@ def _random_part(found: Column, rule: EntropyRule) -> Column:
         total = total + F.when(leave.isNotNull(), weight(left - 1) - weight(left)).otherwise(0.0)
         entropy = F.lit(window).cast("double")
         entropy = F.log2(entropy) - total / window
-        random = (at >= window - 1) & (entropy >= bits)
+        begin = at - window + 1
+        part = F.array_join(F.slice(chars, F.greatest(begin + 1, F.lit(1)), F.lit(window)), "")
+        bits = F.lit(None).cast("double")
+        # A part of a string of some class has the threshold of the string at most.
+        for pattern, least in reversed(classes):
+            bits = F.when(F.rlike(part, F.lit(pattern)), F.lit(float(least))).otherwise(bits)
+        bits = F.least(bits, whole)
+        random = F.when((at >= window - 1) & (entropy >= lowest), entropy >= bits)
+        random = F.coalesce(random, F.lit(False))
+        apart = random & (begin > state["last"])
         return F.struct(
             F.when(leave.isNotNull(), shrunk).otherwise(grown).alias("counts"),
             total.alias("total"),
-            F.when(random & state["first"].isNull(), at - window + 1)
+            F.when(apart, closed(state)).otherwise(state["runs"]).alias("runs"),
+            F.when(apart | (random & state["first"].isNull()), begin)
             .otherwise(state["first"])
             .alias("first"),
             F.when(random, at + 1).otherwise(state["last"]).alias("last"),
         )
 
+    def closed(state: Column) -> Column:
+        run = F.struct(state["first"].alias("first"), state["last"].alias("last"))
+        added = F.concat(state["runs"], F.array(run))
+        return F.when(state["first"].isNotNull(), added).otherwise(state["runs"])
+
     start = F.struct(
         F.create_map().cast("map<string,int>").alias("counts"),
         F.lit(0.0).alias("total"),
+        F.array().cast("array<struct<first:int,last:int>>").alias("runs"),
         F.lit(None).cast("int").alias("first"),
         F.lit(None).cast("int").alias("last"),
     )
-    slid = F.aggregate(F.sequence(F.lit(0), F.length(found) - 1), start, slide)
-    suspect = bits.isNotNull() & ~F.rlike(found, F.lit(rule.allowed))
-    return F.when(suspect, F.struct(slid["first"].alias("first"), slid["last"].alias("last")))
+    runs = F.aggregate(F.sequence(F.lit(0), F.length(found) - 1), start, slide, closed)
+    return F.filter(
+        runs,
+        lambda r: ~F.rlike(
+            F.substring(found, r["first"] + 1, r["last"] - r["first"]), F.lit(rule.allowed)
+        ),
+    )
+
+
+def _without(run: Column, base: Column) -> Column:
+    """What ordered base spans leave of a run."""
+    def cut(state: Column, span: Column) -> Column:
+        touches = (span["start"] < run["end"]) & (span["end"] > state["at"])
+        left = F.struct(state["at"].alias("start"), run["kind"], span["start"].alias("end"))
+        kept = F.when(
+            touches & (span["start"] > state["at"]), F.concat(state["left"], F.array(left))
+        ).otherwise(state["left"])
+        at = F.when(touches, span["end"]).otherwise(state["at"])
+        return F.struct(at.alias("at"), kept.alias("left"))
+
+    def rest(state: Column) -> Column:
+        left = F.struct(state["at"].alias("start"), run["kind"], run["end"])
+        return F.when(state["at"] < run["end"], F.concat(state["left"], F.array(left))).otherwise(
+            state["left"]
+        )
+
+    none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
+    start = F.struct(run["start"].alias("at"), none.alias("left"))
+    return F.aggregate(base, start, cut, rest)
 
 
 def secret_spans(docs: DataFrame, rule: EntropyRule | None = None) -> DataFrame:
     """Add ``base`` and ``spans``: arrays of ``(start, kind, end)``, ordered.
 
-    ``base`` has the pattern kinds. ``spans`` adds random parts that touch none of those.
+    ``base`` has the pattern kinds. ``spans`` adds what
+    those leave of the random parts.
     Existing columns of these names are replaced.
     """
     rule = rule or EntropyRule()
@@ -153,24 +204,20 @@ def secret_spans(docs: DataFrame, rule: EntropyRule | None = None) -> DataFrame:
         F.transform(spans, lambda s: F.struct(s["start"], s["kind"], s["end"]))
     )
     found = once(docs.drop("base", "spans"), "base", plain(base))
-    parts = F.transform(
-        _spans(text, rule.candidate, "entropy"),
-        lambda s: F.struct(s["start"], s["kind"], _random_part(s["found"], rule).alias("part")),
-    )
-    added = F.transform(
-        F.filter(parts, lambda p: p["part"]["last"].isNotNull()),
-        lambda p: F.struct(
-            (p["start"] + p["part"]["first"]).alias("start"),
-            p["kind"],
-            (p["start"] + p["part"]["last"]).alias("end"),
-        ),
-    )
-    fresh = F.filter(
-        added,
-        lambda a: ~F.exists(
-            F.col("base"), lambda b: (a["start"] < b["end"]) & (b["start"] < a["end"])
-        ),
+    parts = F.flatten(
+        F.transform(
+            _spans(text, rule.candidate, "entropy"),
+            lambda s: F.transform(
+                _random_parts(s["found"], rule),
+                lambda r: F.struct(
+                    (s["start"] + r["first"]).alias("start"),
+                    s["kind"],
+                    (s["start"] + r["last"]).alias("end"),
+                ),
+            ),
+        )
     )
+    fresh = F.flatten(F.transform(parts, lambda run: _without(run, F.col("base"))))
     return found.withColumn("spans", F.sort_array(F.concat("base", fresh)))
 
 
