@@ -48,6 +48,12 @@ class EntropyRule:
     mixed_class: str = r"(?s)^(?=.*[a-z])(?=.*[A-Z])(?=.*[0-9])"
     hex_bits: float = 2.8
     mixed_bits: float = 3.5
+    lower_class: str = r"^(?=.*[a-z])(?=.*[0-9])"
+    upper_class: str = r"^(?=.*[A-Z])(?=.*[0-9])"
+    letters_class: str = r"^(?=.*[a-z])(?=.*[A-Z])"
+    lower_bits: float = 3.5
+    upper_bits: float = 3.3
+    letters_bits: float = 3.7
     # Possessive groups: they are matched in a loop, however long the run is.
     allowed: str = (
         r"^(?:[-_=+/]++|(?:[0-9]++|[A-Z]++|[a-z]*+(?:[A-Z][a-z]{2,})*+(?:[A-Z][a-z]?)?+)"
@@ -98,6 +104,9 @@ def _random_parts(found: Column, rule: EntropyRule) -> Column:
     classes = [
         (rule.hex_class, rule.hex_bits),
         (rule.mixed_class, rule.mixed_bits),
+        (rule.lower_class, rule.lower_bits),
+        (rule.upper_class, rule.upper_bits),
+        (rule.letters_class, rule.letters_bits),
     ]
     lowest = min(bits for _, bits in classes)
     whole = F.lit(None).cast("double")

@@ -93,6 +93,17 @@ def test_random_parts_beside_patterns_and_allowed_parts(spark):
     assert not any(entropy_parts(spark, plain).values())
 
 
+def test_every_class_of_random_strings_is_found(spark):
+    keys = [
+        "k3j9x0q8z7w2v5t1r6p4m8n2", "JBSWY3DPEHPK3PXPJBSWY3DP", "3f9a1c7e-5b2d-4e8f-9a0c-7d6e1b4f2a85",
+        "wJalrXUtnFEMIKMDENGbPxRfiCYEXAMPLEKEY",
+    ]
+    plain = ["donaudampfschifffahrtsgesellschaft", "getElementClassNameAndValue", "INTERNATIONALIZATIONS", "news/2024/05/some-article-title-here"]
+    found = entropy_parts(spark, keys + plain)
+    assert [k for k in keys if found[k] != [k]] == []
+    assert [p for p in plain if found[p]] == []
+
+
 def test_masks_replace_merged_spans(docs):
     masked = {r.doc_id: r for r in secrets.mask_secrets(docs).collect()}
     assert secrets.mask_secrets(docs).columns == docs.columns
