@@ -3,8 +3,8 @@
 A URL is a set of tokens: its host's labels, its path's segments (digits as one token, file
 endings apart) and the names of its query's fields. Spark's FP-growth mines the token
 combinations of the labelled URLs together with their label; the combinations that imply a bad
-label with enough support and confidence are the rules, unless a part of their tokens is a rule
-of the same confidence already. Each rule is filed under its rarest token, so a URL is compared
+label with enough support and confidence are the rules, unless all but one of their tokens are a
+rule of at least that confidence. Each rule is filed under its rarest token, so a URL is compared
 only with rules that could match it.
 
 All work is in DataFrame functions. Defined cases: a null URL or one without ``://`` has an
@@ -25,8 +25,6 @@ from corpusmill.llm.common import ascii_lower
 MIN_SUPPORT = 0.001
 MIN_CONFIDENCE = 0.8
 MIN_PAGES = 5
-# Longer token sets are no rules: combinations of more tokens are specialisations.
-MAX_TOKENS = 3
 # Mined rules up to this number are broadcast; more are joined by shuffle.
 MAX_BROADCAST = 100_000
 BAD = "label=bad"
@@ -77,23 +75,14 @@ def mine_rules(
     model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=min_confidence).fit(baskets)
     rules = (
         model.associationRules.filter(F.col("consequent") == F.array(F.lit(BAD)))
-        .filter(F.size("antecedent") <= MAX_TOKENS)
         .select(F.sort_array("antecedent").alias("tokens"), "confidence")
     )
-    # A rule goes if one of its proper parts is a rule of at least its confidence. With three
-    # tokens at most, its parts can be written out and joined.
+    # A rule goes if it is one of at least its confidence without one of its tokens.
     parts = rules.select(
         "tokens",
         "confidence",
-        F.explode(
-            F.array_distinct(
-                F.concat(
-                    F.transform("tokens", lambda t: F.array(t)),
-                    F.transform("tokens", lambda t: F.array_remove(F.col("tokens"), t)),
-                )
-            )
-        ).alias("part"),
-    ).filter("size(part) > 0 and size(part) < size(tokens)")
+        F.explode(F.transform("tokens", lambda t: F.array_remove(F.col("tokens"), t))).alias("part"),
+    )
     general = rules.select(F.col("tokens").alias("part"), F.col("confidence").alias("part_confidence"))
     needless = (
         parts.join(general, "part").filter("part_confidence >= confidence").select("tokens").distinct()

@@ -156,3 +156,14 @@ def test_mined_rules_find_a_planted_combination(spark):
     )
     found = tuples(url_rules.judged(pages, labelled, []), "page_id", "verdict")
     assert found == [(1, "block"), (1, "block"), (2, "allow"), (3, "allow"), (4, "allow")]
+
+
+def test_mined_rules_of_more_tokens_than_three(spark):
+    urls = [("http://shop/a/b?ref=1", True)]
+    urls += [(u, False) for u in ("http://x/a/b?ref=1", "http://shop/a?ref=1", "http://shop/b?ref=1", "http://shop/a/b")]
+    labelled = spark.createDataFrame(urls * 20, "url string, bad boolean")
+    rules = url_rules.mine_rules(labelled).collect()
+    assert [sorted(r.tokens) for r in rules] == [["h:shop", "p:a", "p:b", "q:ref"]]
+    pages = spark.createDataFrame([(k, u[0]) for k, u in enumerate(urls)], "page_id int, url string")
+    found = tuples(url_rules.judged(pages, labelled, []), "page_id", "verdict")
+    assert found == [(0, "block"), *((k, "allow") for k in range(1, 5))]
