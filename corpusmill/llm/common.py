@@ -6,6 +6,7 @@ import string
 from collections.abc import Iterator
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,6 +48,20 @@ def dropped(df: DataFrame, path: str) -> None:
     drop_path(df.sparkSession, path)
 
 
+class WordIds(dict):
+    """64-bit hashes of words, each made once while it is remembered."""
+
+    def __init__(self, most: int = 200_000):
+        super().__init__()
+        self.most = most
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= self.most:
+            self.clear()
+        value = self[word] = xxhash.xxh64_intdigest(word)
+        return value
+
+
 def byte_texts(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
     """Texts of a batch as UTF-8 bytes; null counts as empty."""
     column = batch.column(batch.schema.get_field_index(name))

@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import decontaminate, id_files, line_crf, nbsvm, packing, ppm, repeats, secrets, sketch_join, url_rules
+from corpusmill.llm import (
+    decontaminate,
+    id_files,
+    line_crf,
+    middle,
+    nbsvm,
+    packing,
+    ppm,
+    repeats,
+    secrets,
+    sketch_join,
+    super_kmers,
+    url_rules,
+    variants,
+)
 from corpusmill.llm.common import remainder
 from corpusmill.llm.oracle import all_sql  # noqa: F401
 
@@ -128,6 +142,20 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_repeated_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = super_kmers.without_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
+    return left.select("doc_id", "n_words", removed.alias("n_removed"), sha_text(F.col("kept")).alias("kept_sha256"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return middle.fill_in_middle(table(spark, sf_dir, "documents"))
+
+
 def all_queries() -> dict[str, Query]:
     return {
         "op1_jaccard_join": op1_jaccard_join,
@@ -140,4 +168,7 @@ def all_queries() -> dict[str, Query]:
         "op8_decontaminate": op8_decontaminate,
         "op9_token_id_files": op9_token_id_files,
         "op10_best_fit_packing": op10_best_fit_packing,
+        "op11_repeated_windows": op11_repeated_windows,
+        "op12_spelling_variants": op12_spelling_variants,
+        "op13_fill_in_middle": op13_fill_in_middle,
     }

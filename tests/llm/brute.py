@@ -166,3 +166,70 @@ def jaccard_components(docs, size=3, part=9, whole=10):
     for i, (doc_id, _) in enumerate(docs):
         least[root(i)] = min(doc_id, least.get(root(i), doc_id))
     return [(d, len(s), least[root(i)]) for i, ((d, _), s) in enumerate(zip(docs, sets))]
+
+
+def without_repeated_windows(docs, window=20):
+    """n_words, n_removed, digest per (id, text) row; documents ordered by id, a null id first."""
+    order = lambda d: (d[0] is not None, d[0])
+    cut = {d: SPACED.findall(raw(d[1])) for d in docs}
+    first = {}
+    for d in sorted(cut, key=order):
+        for i in range(len(cut[d]) - window + 1):
+            first.setdefault(tuple(cut[d][i : i + window]), (d, i))
+    out = []
+    for d in docs:
+        words = cut[d]
+        gone = set()
+        for i in range(len(words) - window + 1):
+            if first[tuple(words[i : i + window])] != (d, i):
+                gone.update(range(i, i + window))
+        out.append((d[0], len(words), len(gone), sha(b" ".join(w for p, w in enumerate(words) if p not in gone))))
+    return out
+
+
+def one_edit_apart(a, b):
+    """By the definition: one letter replaced, or one letter more in one of them."""
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    a, b = sorted((a, b), key=len)
+    return len(b) - len(a) == 1 and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def spelling_variants(docs, least_length=5, least_count=3):
+    """word, n, n_near, form, form_n, root, by comparing all words with all."""
+    counts = Counter()
+    for doc_id, text in docs:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            word = "".join(c.lower() if "A" <= c <= "Z" else c for c in run)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{word}".encode())
+            if h % 97 == 0:
+                word = word[: h % len(word)] + word[h % len(word) + 1 :]
+            counts[word] += 1
+    words = {w: n for w, n in counts.items() if len(w) >= least_length and n >= least_count}
+    near = {w: [o for o in words if one_edit_apart(w, o)] for w in words}
+    form = {}
+    for w in words:
+        best = min(near[w], key=lambda o: (-words[o], o), default=None)
+        form[w] = best if best and words[best] >= 2 * words[w] else None
+    out = []
+    for w, n in words.items():
+        root = w
+        while form[root]:
+            root = form[root]
+        out.append((w, n, len(near[w]), form[w], words[form[w]] if form[w] else None, root))
+    return out
+
+
+def fill_in_middle(doc_id, text):
+    """n, form, prefix_chars, middle_chars, output of one text."""
+    text = text or ""
+    h = sha(f"1:{'' if doc_id is None else doc_id}")
+    h1, h2, h3, h4 = (int(h[k * 8 : k * 8 + 8], 16) for k in range(4))
+    n = len(text)
+    if not text or "<P>" in text or "<S>" in text or "<M>" in text or h3 % 100 >= 90:
+        return n, "plain", None, None, text
+    low, high = min(h1 % (n + 1), h2 % (n + 1)), max(h1 % (n + 1), h2 % (n + 1))
+    p, m, s = text[:low], text[low:high], text[high:]
+    if h4 % 100 < 20:
+        return n, "spm", low, high - low, f"<S>{s}<P>{p}<M>{m}"
+    return n, "psm", low, high - low, f"<P>{p}<S>{s}<M>{m}"
