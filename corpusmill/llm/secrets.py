@@ -3,7 +3,8 @@
 All work is in DataFrame functions, inside each document's row: no row is moved. A pattern is
 run once to split the text and once to extract its matches; lengths summed up give the places.
 Candidate strings of the entropy scan are slid over by a window whose character counts are
-updated by the character that enters and the one that leaves.
+updated by the character that enters and the one that leaves: the work follows the length of a
+candidate, and that of the text.
 
 Defined cases: a null or empty text has no spans; a text of any length is scanned whole;
 repeated rows give a row each; extra columns are kept by :func:`mask_secrets`; spans of equal
@@ -12,6 +13,7 @@ start are ordered by kind.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -30,6 +32,15 @@ ASSIGN_LEAST = 12
 ACCESS = r"AKIA[A-Z0-9]{14,}+"
 HEX = r"[0-9a-f]{16,}+"
 KINDS = ("assign", "access", "hex", "entropy")
+# Behind the end of every text.
+_FAR = 2**31 - 1
+
+
+# Elements that a list grows by one at a time before it is put away as a block: growing one long
+# list would copy it at each step.
+BLOCK = 256
+# Code points of a piece, in which places of long texts are looked up.
+PIECE = 1024
 
 
 @dataclass(frozen=True)
@@ -37,20 +48,17 @@ class EntropyRule:
     """When a window of a candidate string counts as random.
 
     ``candidate`` cuts candidate strings. Each window has the threshold, in bits for each
-    character, of the first class it fits; others are words or numbers. Separators count for no
-    class. Windows that overlap or touch make a run; ``allowed`` suppresses whole runs: plain
-    words and numbers, joined by separators or not, dates, alphabets and repeated characters.
+    character, of the first class it fits: hex digits of one case with a letter; upper case, lower
+    case and digits; lower case and digits; upper case and digits; upper and lower case. Others
+    are words or numbers. Separators count for no class. Windows that overlap or touch make a
+    run; ``allowed`` suppresses whole runs: plain words and numbers, joined by separators or not,
+    dates, alphabets and repeated characters.
     """
 
     window: int = 20
     candidate: str = r"[A-Za-z0-9+/_=-]{20,}+"
-    hex_class: str = r"^(?:(?=.*[a-f])[0-9a-f+/_=-]+|(?=.*[A-F])[0-9A-F+/_=-]+)$"
-    mixed_class: str = r"(?s)^(?=.*[a-z])(?=.*[A-Z])(?=.*[0-9])"
     hex_bits: float = 2.8
     mixed_bits: float = 3.5
-    lower_class: str = r"^(?=.*[a-z])(?=.*[0-9])"
-    upper_class: str = r"^(?=.*[A-Z])(?=.*[0-9])"
-    letters_class: str = r"^(?=.*[a-z])(?=.*[A-Z])"
     lower_bits: float = 3.5
     upper_bits: float = 3.3
     letters_bits: float = 3.7
@@ -62,6 +70,47 @@ class EntropyRule:
         r"|0123456789(?:abcdef|ABCDEF)?+|(.)\1{7,}+|[-_=+/])++$"
     )
 
+    def bits(self, lower: Column, lower_rest: Column, upper: Column, upper_rest: Column, digit: Column) -> Column:
+        """The threshold of a string that has characters of these kinds, or null."""
+        pure = (lower & ~lower_rest & ~upper) | (upper & ~upper_rest & ~lower)
+        return (
+            F.when(pure, F.lit(self.hex_bits))
+            .when(lower & upper & digit, F.lit(self.mixed_bits))
+            .when(lower & digit, F.lit(self.lower_bits))
+            .when(upper & digit, F.lit(self.upper_bits))
+            .when(lower & upper, F.lit(self.letters_bits))
+        )
+
+    @property
+    def lowest(self) -> float:
+        return min(self.hex_bits, self.mixed_bits, self.lower_bits, self.upper_bits, self.letters_bits)
+
+
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _empty(item: str) -> list[Column]:
+    """The fields of a list that grows in blocks."""
+    return [
+        F.array().cast(f"array<array<{item}>>").alias("done"),
+        F.array().cast(f"array<{item}>").alias("part"),
+    ]
+
+
+def _added(state: Column, more: Column, item: Column) -> list[Column]:
+    """The list with ``item`` if ``more``."""
+    full = F.size(state["part"]) >= BLOCK
+    one = F.array(item)
+    done = F.when(more & full, F.concat(state["done"], F.array(state["part"]))).otherwise(state["done"])
+    part = F.when(~more, state["part"]).when(full, one).otherwise(F.concat(state["part"], one))
+    return [done.alias("done"), part.alias("part")]
+
+
+def _listed(state: Column) -> Column:
+    return F.flatten(F.concat(state["done"], F.array(state["part"])))
+
 
 def _spans(text: Column, pattern: str, kind: str, ok: Column | None = None) -> Column:
     """Matches as ``array<struct<start, kind, end, found>>``; places count code points."""
@@ -83,13 +132,13 @@ def _spans(text: Column, pattern: str, kind: str, ok: Column | None = None) -> C
             end.alias("end"),
             pair["found"].alias("found"),
         )
-        taken = F.concat(seen["spans"], F.array(span))
-        spans = taken if ok is None else F.when(pair["ok"], taken).otherwise(seen["spans"])
-        return F.struct(end.alias("at"), spans.alias("spans"))
+        more = F.lit(True) if ok is None else pair["ok"]
+        return F.struct(end.alias("at"), *_added(seen, more, span))
 
-    none = F.array().cast("array<struct<start:int,kind:int,end:int,found:string>>")
-    first = F.struct(F.lit(0).alias("at"), none.alias("spans"))
-    placed = F.aggregate(pairs, first, place)["spans"]
+    item = "struct<start:int,kind:int,end:int,found:string>"
+    first = F.struct(F.lit(0).alias("at"), *_empty(item))
+    placed = F.aggregate(pairs, first, place, _listed)
+    none = F.array().cast(f"array<{item}>")
     return F.when(F.rlike(text, F.lit(pattern)), placed).otherwise(none)
 
 
@@ -98,101 +147,141 @@ def _long_enough(text: Column) -> Column:
     return F.transform(values, lambda v: F.length(v) >= ASSIGN_LEAST)
 
 
-def _random_parts(found: Column, rule: EntropyRule) -> Column:
-    """``array<struct<first, last>>``: starts and ends of all maximal runs of random windows."""
+def _runs(found: Column, chars: Column, rule: EntropyRule) -> Column:
+    """``array<struct<first, last>>``: starts and ends of all maximal runs of random windows.
+
+    One step for each character. Its counts, by character and by kind, follow the character that
+    enters the window and the one that leaves it.
+    """
     window = rule.window
-    classes = [
-        (rule.hex_class, rule.hex_bits),
-        (rule.mixed_class, rule.mixed_bits),
-        (rule.lower_class, rule.lower_bits),
-        (rule.upper_class, rule.upper_bits),
-        (rule.letters_class, rule.letters_bits),
-    ]
-    lowest = min(bits for _, bits in classes)
-    whole = F.lit(None).cast("double")
-    for pattern, least in reversed(classes):
-        whole = F.when(F.rlike(found, F.lit(pattern)), F.lit(float(least))).otherwise(whole)
-    chars = F.split(found, "", -1)
+    kinds = {
+        "lower": lambda c: c.between("a", "z"),
+        "lower_rest": lambda c: c.between("g", "z"),
+        "upper": lambda c: c.between("A", "Z"),
+        "upper_rest": lambda c: c.between("G", "Z"),
+        "digit": lambda c: c.between("0", "9"),
+    }
+    classes = {"lower": "[a-z]", "lower_rest": "[g-z]", "upper": "[A-Z]", "upper_rest": "[G-Z]", "digit": "[0-9]"}
+    whole = rule.bits(**{k: F.rlike(found, F.lit(p)) for k, p in classes.items()})
 
     def weight(n: Column) -> Column:
-        return F.when(n > 0, n * F.log2(n.cast("double"))).otherwise(0.0)
-
-    def slide(state: Column, at: Column) -> Column:
-        # Counts of the window's characters; only two of them change with a step.
-        enter = F.get(chars, at)
-        leave = F.when(at >= window, F.get(chars, at - window))
-        counts = state["counts"]
-        had = F.coalesce(F.element_at(counts, enter), F.lit(0))
-        grown = F.map_concat(F.map_filter(counts, lambda c, _: c != enter), F.create_map(enter, had + 1))
-        left = F.coalesce(F.element_at(grown, leave), F.lit(0))
-        shrunk = F.map_concat(
-            F.map_filter(grown, lambda c, _: c != leave), F.create_map(leave, left - 1)
-        )
-        total = state["total"] + weight(had + 1) - weight(had)
-        total = total + F.when(leave.isNotNull(), weight(left - 1) - weight(left)).otherwise(0.0)
-        entropy = F.lit(window).cast("double")
-        entropy = F.log2(entropy) - total / window
-        begin = at - window + 1
-        part = F.array_join(F.slice(chars, F.greatest(begin + 1, F.lit(1)), F.lit(window)), "")
-        bits = F.lit(None).cast("double")
-        # A part of a string of some class has the threshold of the string at most.
-        for pattern, least in reversed(classes):
-            bits = F.when(F.rlike(part, F.lit(pattern)), F.lit(float(least))).otherwise(bits)
-        bits = F.least(bits, whole)
-        random = F.when((at >= window - 1) & (entropy >= lowest), entropy >= bits)
-        random = F.coalesce(random, F.lit(False))
-        apart = random & (begin > state["last"])
-        return F.struct(
-            F.when(leave.isNotNull(), shrunk).otherwise(grown).alias("counts"),
-            total.alias("total"),
-            F.when(apart, closed(state)).otherwise(state["runs"]).alias("runs"),
-            F.when(apart | (random & state["first"].isNull()), begin)
-            .otherwise(state["first"])
-            .alias("first"),
-            F.when(random, at + 1).otherwise(state["last"]).alias("last"),
-        )
+        return F.when(n > 1, n * F.log2(n.cast("double"))).otherwise(0.0)
 
-    def closed(state: Column) -> Column:
-        run = F.struct(state["first"].alias("first"), state["last"].alias("last"))
-        added = F.concat(state["runs"], F.array(run))
-        return F.when(state["first"].isNotNull(), added).otherwise(state["runs"])
+    def changed(counts: Column, char: Column, n: Column) -> Column:
+        others = F.map_filter(counts, lambda c, _: c != char)
+        return F.when(n > 0, F.map_concat(others, F.create_map(char, n))).otherwise(others)
 
+    def slide(state: Column, at: Column) -> Column:
+        leaves = at >= window
+
+        def entered(enter: Column) -> Column:
+            had = F.coalesce(F.element_at(state["counts"], enter), F.lit(0))
+            return _bound(
+                F.struct(
+                    changed(state["counts"], enter, had + 1).alias("counts"),
+                    (state["total"] + weight(had + 1) - weight(had)).alias("total"),
+                    F.when(leaves, F.get(chars, at - window)).alias("leave"),
+                    *[(state[k] + is_kind(enter).cast("int")).alias(k) for k, is_kind in kinds.items()],
+                ),
+                left,
+            )
+
+        def left(now: Column) -> Column:
+            leave = now["leave"]
+            n = F.element_at(now["counts"], leave)
+            return _bound(
+                F.struct(
+                    F.when(leaves, changed(now["counts"], leave, n - 1)).otherwise(now["counts"]).alias("counts"),
+                    F.when(leaves, now["total"] + weight(n - 1) - weight(n)).otherwise(now["total"]).alias("total"),
+                    *[
+                        (now[k] - F.coalesce(is_kind(leave), F.lit(False)).cast("int")).alias(k)
+                        for k, is_kind in kinds.items()
+                    ],
+                ),
+                judged,
+            )
+
+        def judged(now: Column) -> Column:
+            entropy = math.log2(window) - now["total"] / window
+            # A part of a string of some class has the threshold of the string at most.
+            bits = F.least(rule.bits(**{k: now[k] > 0 for k in kinds}), state["whole"])
+            random = (at >= window - 1) & (entropy >= rule.lowest)
+            random = F.coalesce(F.when(random, entropy >= bits), F.lit(False))
+            return _bound(F.struct(now.alias("now"), random.alias("random")), follow)
+
+        def follow(seen: Column) -> Column:
+            now, random, begin = seen["now"], seen["random"], at - window + 1
+            apart = random & (begin > state["last"])
+            run = F.struct(state["first"].alias("first"), state["last"].alias("last"))
+            return F.struct(
+                *[now[k].alias(k) for k in ("counts", "total", *kinds)],
+                state["whole"].alias("whole"),
+                F.when(apart | (random & (state["last"] < 0)), begin).otherwise(state["first"]).alias("first"),
+                F.when(random, at + 1).otherwise(state["last"]).alias("last"),
+                *_added(state, apart & (state["last"] >= 0), run),
+            )
+
+        return _bound(F.get(chars, at), entered)
+
+    item = "struct<first:int,last:int>"
     start = F.struct(
         F.create_map().cast("map<string,int>").alias("counts"),
         F.lit(0.0).alias("total"),
-        F.array().cast("array<struct<first:int,last:int>>").alias("runs"),
-        F.lit(None).cast("int").alias("first"),
-        F.lit(None).cast("int").alias("last"),
-    )
-    runs = F.aggregate(F.sequence(F.lit(0), F.length(found) - 1), start, slide, closed)
-    return F.filter(
-        runs,
-        lambda r: ~F.rlike(
-            F.substring(found, r["first"] + 1, r["last"] - r["first"]), F.lit(rule.allowed)
-        ),
+        *[F.lit(0).alias(k) for k in kinds],
+        whole.alias("whole"),
+        F.lit(-1).alias("first"),
+        F.lit(-1).alias("last"),
+        *_empty(item),
     )
 
+    def closed(state: Column) -> Column:
+        last = F.array(F.struct(state["first"].alias("first"), state["last"].alias("last")))
+        return F.concat(_listed(state), F.when(state["last"] >= 0, last).otherwise(F.array().cast(f"array<{item}>")))
+
+    runs = F.aggregate(F.sequence(F.lit(0), F.size(chars) - 1), start, slide, closed)
+    text_of = lambda r: F.array_join(F.slice(chars, r["first"] + 1, r["last"] - r["first"]), "")
+    return F.filter(runs, lambda r: ~F.rlike(text_of(r), F.lit(rule.allowed)))
+
 
-def _without(run: Column, base: Column) -> Column:
-    """What ordered base spans leave of a run."""
-    def cut(state: Column, span: Column) -> Column:
-        touches = (span["start"] < run["end"]) & (span["end"] > state["at"])
-        left = F.struct(state["at"].alias("start"), run["kind"], span["start"].alias("end"))
-        kept = F.when(
-            touches & (span["start"] > state["at"]), F.concat(state["left"], F.array(left))
-        ).otherwise(state["left"])
-        at = F.when(touches, span["end"]).otherwise(state["at"])
-        return F.struct(at.alias("at"), kept.alias("left"))
-
-    def rest(state: Column) -> Column:
-        left = F.struct(state["at"].alias("start"), run["kind"], run["end"])
-        return F.when(state["at"] < run["end"], F.concat(state["left"], F.array(left))).otherwise(
-            state["left"]
+def _random_parts(found: Column, rule: EntropyRule) -> Column:
+    # Only a string of some class has windows with a threshold; others are not looked into.
+    some = F.rlike(found, F.lit("[a-z]")).cast("int") + F.rlike(found, F.lit("[A-Z]")).cast("int")
+    some += F.rlike(found, F.lit("[0-9]")).cast("int")
+    pure = F.rlike(found, F.lit("^(?:[^g-zA-Z]++|[^G-Za-z]++)$"))
+    none = F.array().cast("array<struct<first:int,last:int>>")
+    runs = _bound(F.split(found, "", -1), lambda chars: _runs(found, chars, rule))
+    return F.when((some > 1) | pure, runs).otherwise(none)
+
+
+def _without(runs: Column, base: Column) -> Column:
+    """What base spans leave of runs that do not overlap each other, in one sweep over both."""
+    events = F.sort_array(
+        F.concat(
+            F.transform(base, lambda s: F.struct(s["start"], s["end"], F.lit(0).alias("run"))),
+            F.transform(runs, lambda s: F.struct(s["start"], s["end"], F.lit(1).alias("run"))),
         )
+    )
 
-    none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
-    start = F.struct(run["start"].alias("at"), none.alias("left"))
-    return F.aggregate(base, start, cut, rest)
+    def sweep(state: Column, event: Column) -> Column:
+        # A base span or another run ends what is open of a run, or takes its beginning away.
+        is_run = event["run"] == 1
+        stop = F.least(state["end"], event["start"])
+        part = F.struct(state["at"].alias("start"), F.lit(KINDS.index("entropy")).alias("kind"), stop.alias("end"))
+        covered = F.when(is_run, state["covered"]).otherwise(F.greatest(state["covered"], event["end"]))
+        at = F.when(is_run, F.greatest(event["start"], state["covered"])).otherwise(F.greatest(state["at"], event["end"]))
+        return F.struct(
+            covered.alias("covered"),
+            at.alias("at"),
+            F.when(is_run, event["end"]).otherwise(state["end"]).alias("end"),
+            *_added(state, state["at"] < stop, part),
+        )
+
+    item = "struct<start:int,kind:int,end:int>"
+    start = F.struct(*[F.lit(0).alias(c) for c in ("covered", "at", "end")], *_empty(item))
+    # A last event behind everything closes what is open.
+    last = F.array(F.struct(F.lit(_FAR).alias("start"), F.lit(_FAR).alias("end"), F.lit(0).alias("run")))
+    swept = F.aggregate(F.concat(events, last), start, sweep, _listed)
+    return F.when(F.size(runs) > 0, swept).otherwise(F.array().cast(f"array<{item}>"))
 
 
 def secret_spans(docs: DataFrame, rule: EntropyRule | None = None) -> DataFrame:
@@ -213,23 +302,35 @@ def secret_spans(docs: DataFrame, rule: EntropyRule | None = None) -> DataFrame:
         F.transform(spans, lambda s: F.struct(s["start"], s["kind"], s["end"]))
     )
     found = once(docs.drop("base", "spans"), "base", plain(base))
-    parts = F.flatten(
+    runs = F.flatten(
         F.transform(
             _spans(text, rule.candidate, "entropy"),
             lambda s: F.transform(
                 _random_parts(s["found"], rule),
                 lambda r: F.struct(
-                    (s["start"] + r["first"]).alias("start"),
-                    s["kind"],
-                    (s["start"] + r["last"]).alias("end"),
+                    (s["start"] + r["first"]).alias("start"), (s["start"] + r["last"]).alias("end")
                 ),
             ),
         )
     )
-    fresh = F.flatten(F.transform(parts, lambda run: _without(run, F.col("base"))))
+    fresh = _bound(runs, lambda own: _without(own, F.col("base")))
     return found.withColumn("spans", F.sort_array(F.concat("base", fresh)))
 
 
+def _between(pieces: Column, part: Column) -> Column:
+    """Code points from ``start`` to ``end`` of a text that is cut into pieces."""
+
+    def own(piece: Column) -> Column:
+        begin = F.greatest(part["start"] - piece * PIECE, F.lit(0))
+        end = F.least(part["end"] - piece * PIECE, F.lit(PIECE))
+        return F.substring(F.get(pieces, piece), begin + 1, end - begin)
+
+    last = F.call_function("div", part["end"] - 1, F.lit(PIECE)).cast("int")
+    first = F.call_function("div", part["start"], F.lit(PIECE)).cast("int")
+    found = F.array_join(F.transform(F.sequence(first, last), own), "")
+    return F.when(part["start"] < part["end"], found).otherwise("")
+
+
 def listed(spans: Column) -> Column:
     """``kind:start:end`` of each span, joined by commas."""
     names = F.array(*map(F.lit, KINDS))
@@ -250,32 +351,29 @@ def mask_secrets(docs: DataFrame, mask: str = "[SECRET]", rule: EntropyRule | No
     # Under numbered names no column of the documents clashes with those of the scan.
     numbered = [docs[c].alias(f"_{i}") for i, c in enumerate(names)]
     found = secret_spans(docs.select(*numbered, "text"), rule)
-    none = F.array().cast("array<struct<start:int,end:int>>")
 
     def join(seen: Column, span: Column) -> Column:
-        last = F.get(seen, F.size(seen) - 1)
-        part = F.array(F.struct(span["start"].alias("start"), span["end"].alias("end")))
-        longer = F.array(
-            F.struct(last["start"].alias("start"), F.greatest(last["end"], span["end"]).alias("end"))
-        )
-        touches = (F.size(seen) > 0) & (span["start"] <= last["end"])
-        return F.when(touches, F.concat(F.slice(seen, F.lit(1), F.size(seen) - 1), longer)).otherwise(
-            F.concat(seen, part)
-        )
-
-    def rebuilt(seen: Column, span: Column) -> Column:
-        piece = F.substring(F.col("text"), seen["upto"] + 1, span["start"] - seen["upto"])
+        # What is open goes to the list when a span starts behind it.
+        apart = span["start"] > seen["end"]
+        open_span = F.struct(seen["start"].alias("start"), seen["end"].alias("end"))
         return F.struct(
-            span["end"].alias("upto"), F.concat(seen["out"], F.array(piece, F.lit(mask))).alias("out")
+            F.when(apart, span["start"]).otherwise(seen["start"]).alias("start"),
+            F.when(apart, span["end"]).otherwise(F.greatest(seen["end"], span["end"])).alias("end"),
+            *_added(seen, apart & (seen["end"] >= 0), open_span),
         )
 
-    merged = once(found, "_merged", F.aggregate("spans", none, join))
-    begin = F.struct(
-        F.lit(0).alias("upto"), F.array().cast("array<string>").alias("out")
+    nothing = F.struct(F.lit(-1).alias("start"), F.lit(-1).alias("end"), *_empty("struct<start:int,end:int>"))
+    closed = lambda s: F.concat(_listed(s), F.array(F.struct(s["start"].alias("start"), s["end"].alias("end"))))
+    none = F.array().cast("array<struct<start:int,end:int>>")
+    joined = F.when(F.size("spans") > 0, F.aggregate("spans", nothing, join, closed)).otherwise(none)
+    merged = once(found, "_merged", joined)
+    starts = F.concat(F.transform("_merged", lambda s: s["start"]), F.array(F.length("text")))
+    ends = F.concat(F.array(F.lit(0)), F.transform("_merged", lambda s: s["end"]))
+    left = F.arrays_zip(ends.alias("start"), starts.alias("end"))
+    cut = F.regexp_extract_all("text", F.lit("(?s).{1,%d}" % PIECE), F.lit(0))
+    masked = _bound(
+        cut, lambda pieces: F.array_join(F.transform(left, lambda part: _between(pieces, part)), mask)
     )
-    cut = F.aggregate("_merged", begin, rebuilt)
-    tail = F.substring(F.col("text"), cut["upto"] + 1, F.length("text"))
-    masked = F.array_join(F.concat(cut["out"], F.array(tail)), "")
     cleaned = once(
         merged, "_clean", F.when(F.size("_merged") > 0, masked).otherwise(F.col("text"))
     )

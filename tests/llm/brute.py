@@ -233,3 +233,56 @@ def fill_in_middle(doc_id, text):
     if h4 % 100 < 20:
         return n, "spm", low, high - low, f"<S>{s}<P>{p}<M>{m}"
     return n, "psm", low, high - low, f"<P>{p}<S>{s}<M>{m}"
+
+
+def random_class(s):
+    """Bits that a string has to have, by its class; None for words and numbers."""
+    lower, upper, digit = (bool(re.search(p, s)) for p in ("[a-z]", "[A-Z]", "[0-9]"))
+    if (lower and not upper and not re.search("[g-z]", s)) or (upper and not lower and not re.search("[G-Z]", s)):
+        return 2.8
+    if lower and upper and digit:
+        return 3.5
+    if lower and digit:
+        return 3.5
+    if upper and digit:
+        return 3.3
+    return 3.7 if lower and upper else None
+
+
+def secret_spans(text, allowed):
+    """All spans of a text; ``allowed`` is the pattern of runs that are no secrets."""
+    import math
+
+    text, base = text or "", secret_base(text)[4]
+    spans = list(base)
+    for m in re.finditer("[A-Za-z0-9+/_=-]{20,}", text):
+        whole, runs = random_class(m[0]), []
+        for i in range(len(m[0]) - 19 if whole else 0):
+            part = m[0][i : i + 20]
+            bits = min(whole, random_class(part) or whole)
+            if -sum(c / 20 * math.log2(c / 20) for c in Counter(part).values()) >= bits - 1e-12:
+                if runs and i <= runs[-1][1]:
+                    runs[-1][1] = i + 20
+                else:
+                    runs.append([i, i + 20])
+        for a, z in runs:
+            if re.search(allowed, m[0][a:z]):
+                continue
+            free = [p for p in range(m.start() + a, m.start() + z) if not any(s <= p < e for s, _, e in base)]
+            for p in free:
+                if p - 1 not in free or p == m.start() + a:
+                    start = p
+                if p + 1 not in free:
+                    spans.append((start, 3, p + 1))
+    return sorted(spans)
+
+
+def masked(text, spans, mask="[SECRET]"):
+    out, at, end = "", 0, -1
+    for a, _, z in spans:
+        if a > end:
+            if end >= 0:
+                out, at = out + mask, end
+            out += text[at:a]
+        end = max(end, z)
+    return out + mask + text[end:] if spans else text

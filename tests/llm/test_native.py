@@ -119,6 +119,60 @@ def test_masks_replace_merged_spans(docs):
             assert not re.search("[0-9a-f]{16,}", text)
 
 
+def some_texts(seed, n):
+    """Texts that are full of candidates, patterns and what lies between."""
+    import random
+
+    rng = random.Random(seed)
+    kinds = ["abcdef0123456789", "ABCDEF0123456789", "abcxyz0189", "ABCXYZ234567", "abcxyzABCXYZ0189+/", "abcXYZ", "-_=", "é 😀"]
+    texts = []
+    for _ in range(n):
+        parts = []
+        for _ in range(rng.randint(1, 12)):
+            kind = rng.choice(kinds)
+            part = "".join(rng.choice(kind) for _ in range(rng.randint(1, 40)))
+            parts.append(rng.choice(["", "", " ", "\n", " token=", "AKIA", "2024-05-01-", "password: '"]) + part)
+        texts.append("".join(parts))
+    return texts
+
+
+def test_all_spans_and_masks_equal_brute_force(spark, monkeypatch):
+    allowed = secrets.EntropyRule().allowed
+    texts = some_texts(1, 400)
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(4)
+    for block, piece in ((256, 1024), (2, 7)):
+        monkeypatch.setattr(secrets, "BLOCK", block)
+        monkeypatch.setattr(secrets, "PIECE", piece)
+        found = {r.doc_id: [tuple(s) for s in r.spans] for r in secrets.secret_spans(df).collect()}
+        clean = {r.doc_id: r.text for r in secrets.mask_secrets(df).collect()}
+        for i, text in enumerate(texts):
+            spans = brute.secret_spans(text, allowed)
+            assert found[i] == spans, text
+            assert clean[i] == brute.masked(text, spans), text
+    assert sum(s[1] == 3 for spans in found.values() for s in spans) > 300
+
+
+def test_long_candidates_take_time_in_proportion(spark):
+    import random
+    import time
+
+    rng = random.Random(5)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    one = "".join(rng.choices(letters, k=1_000_000))
+    # Many spans of each kind in one text, which is long itself.
+    many = " ".join(f"{''.join(rng.choices(letters, k=30))} token={i:020} {i:020x}" for i in range(8_000))
+    df = spark.createDataFrame([(1, one), (2, many), (3, "=" * 300_000)], "doc_id long, text string").repartition(3)
+    start = time.time()
+    rows = {r.doc_id: [tuple(s) for s in r.spans] for r in secrets.secret_spans(df).collect()}
+    clean = {r.doc_id: r.text for r in secrets.mask_secrets(df.filter("doc_id > 1")).collect()}
+    assert time.time() - start < 150
+    assert rows[3] == [] and clean[3] == "=" * 300_000
+    assert sum(e - s for s, _, e in rows[1]) > 990_000
+    base = brute.secret_base(many)[4]
+    assert [s for s in rows[2] if s[1] < 3] == base and len(base) == 24_000
+    assert clean[2] == brute.masked(many, rows[2])
+
+
 RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("com", "/de/", "block")]
 
 
