@@ -132,6 +132,75 @@ class WordMerger:
         return np.concatenate([*done_ids, ids]), np.concatenate([*done_owner, owner])
 
 
+class OrderedMerger:
+    """Merges applied one after the other to many words, as training applies them.
+
+    :class:`WordMerger` takes the lowest rank that a word offers; here the ranks of a word only
+    rise. The two differ where a token is made by a second pair after its own merges were
+    applied, and where a pair is merged a second time.
+    """
+
+    def __init__(self, first_byte: list[int], later_byte: list[int], merges: list[tuple[int, int, int]]):
+        """``merges`` are ``(left, right, merged)`` ids in the order they are applied."""
+        self.first, self.later = np.array(first_byte, np.int64), np.array(later_byte, np.int64)
+        table = np.array(merges, np.int64).reshape(-1, 3)
+        keys = table[:, 0] << 32 | table[:, 1]
+        order = np.argsort(keys, kind="stable")
+        self.pairs = np.append(keys[order], NO_PAIR)
+        self.rank = np.append(order, NO_PAIR)
+        self.merged = np.append(table[order, 2], 0)
+
+    def _places(self, keys: np.ndarray, floor: np.ndarray) -> np.ndarray:
+        """Rows of the table: the first of each pair that is not below its floor."""
+        last = len(self.pairs) - 1
+        place = np.searchsorted(self.pairs, keys)
+        while True:
+            known = self.pairs[place] == keys
+            low = known & (self.rank[place] < floor)
+            if not low.any():
+                return np.where(known, place, last)
+            place = np.where(low, place + 1, place)
+
+    def run(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words, those of a word in order, and the word of each."""
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        owner = np.repeat(np.arange(len(words)), sizes)
+        codes = np.frombuffer(b"".join(words), np.uint8)
+        ids = self.later[codes]
+        starts = (np.cumsum(sizes) - sizes)[sizes > 0]
+        ids[starts] = self.first[codes[starts]]
+        rank, into = np.full(len(ids), NO_PAIR), np.zeros(len(ids), np.int64)
+        floor, fresh = np.zeros(len(words), np.int64), np.arange(len(ids))
+        done = []
+        while len(ids):
+            pair = fresh[fresh + 1 < len(ids)]
+            pair = pair[owner[pair] == owner[pair + 1]]
+            place = self._places(ids[pair] << 32 | ids[pair + 1], floor[owner[pair]])
+            rank[fresh] = NO_PAIR
+            rank[pair], into[pair] = self.rank[place], self.merged[place]
+            begins = np.append(True, owner[1:] != owner[:-1])
+            best = np.minimum.reduceat(rank, np.flatnonzero(begins))[np.cumsum(begins) - 1]
+            stay = best < NO_PAIR
+            done.append((ids[~stay], owner[~stay]))
+            hits = np.flatnonzero(stay & (rank == best))
+            # Of pairs that overlap every second one is merged, from the left.
+            alone = np.append(True, (np.diff(hits) != 1) | (owner[hits[1:]] != owner[hits[:-1]]))[: len(hits)]
+            run = np.maximum.accumulate(np.where(alone, np.arange(len(hits)), 0))
+            hits = hits[(np.arange(len(hits)) - run) % 2 == 0]
+            ids[hits] = into[hits]
+            floor[owner[hits]] = rank[hits]
+            stay[hits + 1] = False
+            new_place = np.cumsum(stay) - 1
+            ids, owner, rank, into = ids[stay], owner[stay], rank[stay], into[stay]
+            fresh = np.unique(np.concatenate([new_place[hits], new_place[hits] - 1]))
+            fresh = fresh[fresh >= 0]
+        if not done:
+            return ids, owner
+        ids, owner = (np.concatenate(c) for c in zip(*done))
+        order = np.argsort(owner, kind="stable")
+        return ids[order], owner[order]
+
+
 def array_encoder(merger: WordMerger) -> Callable[[pa.Array], pa.Array]:
     """Lift the merger to Arrow lists of words.
 

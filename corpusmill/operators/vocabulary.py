@@ -7,19 +7,21 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.functions.byte_symbols import SYMBOLS, map_bytes, to_symbols
+from corpusmill.functions.byte_symbols import SYMBOLS, to_symbols
 from corpusmill.functions.text import normalize_nfkc, pretokenize
+from corpusmill.operators.pair_index import PairIndex
 from corpusmill.operators.tokenizer import SPECIAL_TOKENS, Tokenizer
-from corpusmill.session import drop_path, scratch_path
 
 # Fixed values -------------------------------------------------------------
 VOCAB_SIZE = 8192
 MIN_FREQUENCY = 2
 # --------------------------------------------------------------------------
 
-# Best pairs looked at per round, and merges applied before the tables are written again.
+# Best pairs looked at per round, pairs whose counts the driver follows, and rounds after which
+# the log of pairs is folded.
 TOP_PAIRS = 256
-REFRESH_MERGES = 48
+HOT_PAIRS = 20_000
+REFRESH_ROUNDS = 64
 
 
 def word_counts(
@@ -59,40 +61,7 @@ def pair_counts(words: DataFrame) -> DataFrame:
     )
 
 
-def symbol_char(token_id: int) -> str:
-    """One character per token id, in id order, clear of the surrogate range."""
-    code = 0x100 + token_id
-    return chr(code if code < 0xD800 else code + 0x800)
-
-
-def apply_merges(seg: str, merges: Sequence[tuple[str, str]]) -> Column:
-    """Replace each pair by its merged symbol, left to right, one merge after the other."""
-    steps = ", ".join(f"struct('{pair}' AS pair, '{merged}' AS merged)" for pair, merged in merges)
-    return F.expr(
-        f"aggregate(array({steps}), {seg}, (text, m) -> replace(text, m.pair, m.merged))"
-    )
-
-
-class _Symbols:
-    """Token texts of the run, with the character that stands for each."""
-
-    def __init__(self, specials: Sequence[str]):
-        self.tokens = [*specials, *sorted(SYMBOLS)]
-        self.char = {t: symbol_char(i) for i, t in enumerate(self.tokens)}
-        self.text = {c: t for t, c in self.char.items()}
-
-    def add(self, token: str) -> str:
-        if token not in self.char:
-            self.char[token] = symbol_char(len(self.tokens))
-            self.text[self.char[token]] = token
-            self.tokens.append(token)
-        return self.char[token]
-
-    def byte_chars(self, prefix: str = "") -> str:
-        return "".join(self.char.get(prefix + s, "?") for s in SYMBOLS)
-
-
-def independent_prefix(ranked: Sequence[tuple[str, str, int]], complete: bool) -> int:
+def independent_prefix(ranked: Sequence[tuple[int, int, int]], complete: bool) -> int:
     """How many of the best pairs can be merged before the counts must be taken again.
 
     Merging ``(l, r)`` changes only pairs that start with ``r`` or end with ``l``, and a new
@@ -111,20 +80,12 @@ def independent_prefix(ranked: Sequence[tuple[str, str, int]], complete: bool) -
     return len(ranked)
 
 
-def _start_table(words: DataFrame, symbols: _Symbols, prefix: str) -> DataFrame:
-    """Words as symbol characters: ``(seg, freq)``."""
-    word = F.col("word")
-    if not prefix:
-        return words.select(map_bytes(word, symbols.byte_chars()).alias("seg"), "freq")
-    bytes_text = F.decode(F.encode(word, "UTF-8"), "ISO-8859-1")
-    later = words.select(F.explode(F.split(F.substring(bytes_text, 2, 1 << 30), "")).alias("b"))
-    # At most 256 different bytes.
-    for b in sorted(SYMBOLS[ord(row.b)] for row in later.filter("b != ''").distinct().collect()):
-        symbols.add(prefix + b)
-    latin1 = "".join(map(chr, range(256)))
-    head = F.translate(F.substring(bytes_text, 1, 1), latin1, symbols.byte_chars())
-    tail = F.translate(F.substring(bytes_text, 2, 1 << 30), latin1, symbols.byte_chars(prefix))
-    return words.select(F.concat(head, tail).alias("seg"), "freq")
+def _later_symbols(words: DataFrame, prefix: str) -> list[str]:
+    """Tokens of the bytes that stand behind the first one of a word: at most 256."""
+    text = F.decode(F.encode("word", "UTF-8"), "ISO-8859-1")
+    later = words.select(F.explode(F.split(F.substring(text, 2, 1 << 30), "")).alias("b"))
+    found = later.filter("b != ''").distinct().collect()
+    return [prefix + s for s in sorted(SYMBOLS[ord(row.b)] for row in found)]
 
 
 def train_bpe(
@@ -134,92 +95,52 @@ def train_bpe(
     specials: Sequence[str] = SPECIAL_TOKENS,
     continuing_prefix: str = "",
     add_prefix_space: bool = False,
-    refresh: int = REFRESH_MERGES,
+    refresh: int = REFRESH_ROUNDS,
     top_pairs: int = TOP_PAIRS,
+    hot_pairs: int = HOT_PAIRS,
 ) -> Tokenizer:
     """Learn merges from ``(word, freq)`` until ``vocab_size`` or ``min_frequency`` stops it.
 
-    The best pair is the most frequent one, then the one with the lower token ids. Each round
-    is one job: words touched by the last merges give up their old pairs and add their new
-    ones, and the best pairs come back. Only those few rows and the merges, bounded by
-    ``vocab_size``, reach the driver. Every ``refresh`` merges both tables are written to the
-    shared folder again, which also bounds the work after a lost executor.
+    The best pair is the most frequent one, then the one with the lower token ids. The driver
+    follows the counts of the ``hot_pairs`` most frequent pairs. A round merges those that are
+    provably next in line: the words that hold them are found in an index, give up their old
+    pairs and get their new ones, and the changes of counts come back. What reaches the driver
+    is bounded by the vocabulary: of a round, the pairs that have a token of its merges.
     """
-    spark = words.sparkSession
-    symbols = _Symbols(specials)
-    run = scratch_path(spark, "bpe")
-    merges: list[tuple[str, str]] = []
-    pending: list[tuple[str, str]] = []
-    written: dict[str, list[str]] = {"words": [], "pairs": []}
-
-    def stored(df: DataFrame, name: str) -> DataFrame:
-        """Write the next version of a table and drop the one before the last."""
-        versions = written[name]
-        versions.append(f"{run}/{name}-{len(merges)}")
-        df.write.parquet(versions[-1])
-        for old in versions[:-2]:
-            drop_path(spark, old)
-            versions.remove(old)
-        return spark.read.schema(df.schema).parquet(versions[-1])
-
-    def stored_words(df: DataFrame) -> DataFrame:
-        # Every round scans the words, so they are spread over all cores even when small.
-        return stored(df.repartition(spark.sparkContext.defaultParallelism), "words").persist()
-
-    table = stored_words(_start_table(words, symbols, continuing_prefix))
-    pairs = stored(
-        _pairs_of(table, F.col("seg"), F.col("freq"))
-        .groupBy("l", "r")
-        .agg(F.sum("n").alias("n")),
-        "pairs",
+    tokens = [*specials, *sorted(SYMBOLS)]
+    if continuing_prefix:
+        tokens += _later_symbols(words, continuing_prefix)
+    ids = {token: i for i, token in enumerate(tokens)}
+    index = PairIndex(
+        words,
+        [ids[s] for s in SYMBOLS],
+        [ids.get(continuing_prefix + s, -1) for s in SYMBOLS],
+        hot_pairs,
     )
-
-    def recounted(latest: list[tuple[str, str]]) -> DataFrame:
-        earlier = pending[: len(pending) - len(latest)]
-        was = apply_merges("seg", earlier) if earlier else F.col("seg")
-        moved = table.select(was.alias("was"), "freq").withColumn(
-            "now", apply_merges("was", latest)
-        )
-        before = F.struct(F.col("was").alias("seg"), (-F.col("freq")).alias("freq"))
-        after = F.struct(F.col("now").alias("seg"), F.col("freq"))
-        both = F.when(F.col("now") != F.col("was"), F.array(before, after))
-        change = _pairs_of(moved.select(F.inline(both)), F.col("seg"), F.col("freq"))
-        summed = pairs.unionByName(change).groupBy("l", "r").agg(F.sum("n").alias("n"))
-        return stored(summed.filter("n > 0"), "pairs")
-
-    while len(symbols.tokens) < vocab_size:
-        best = (
-            pairs.filter(F.col("n") >= max(min_frequency, 1))
-            .orderBy(F.desc("n"), "l", "r")
-            .limit(top_pairs)
-            .collect()
-        )
-        if not best:
+    merges: list[tuple[str, str]] = []
+    least = max(min_frequency, 1)
+    while len(tokens) < vocab_size:
+        ranked, complete = index.best(top_pairs, least)
+        if not ranked:
             break
-        ranked = [(row.l, row.r, row.n) for row in best]
-        latest: list[tuple[str, str]] = []
-        for left, right, _ in ranked[: independent_prefix(ranked, len(best) < top_pairs)]:
-            known = len(symbols.tokens)
-            pair = symbols.text[left], symbols.text[right]
-            merged = symbols.add(pair[0] + pair[1][len(continuing_prefix):])
+        batch, known = [], True
+        for left, right, _ in ranked[: independent_prefix(ranked, complete)]:
+            pair = tokens[left], tokens[right]
+            token = pair[0] + pair[1][len(continuing_prefix) :]
             merges.append(pair)
-            latest.append((left + right, merged))
+            known = token in ids
+            if not known:
+                ids[token] = len(tokens)
+                tokens.append(token)
+            batch.append((left, right, ids[token]))
             # A token made a second time adds to the pairs it is already part of.
-            if len(symbols.tokens) == known or len(symbols.tokens) >= vocab_size:
+            if known or len(tokens) >= vocab_size:
                 break
-        if len(symbols.tokens) >= vocab_size:
-            break
-        pending += latest
-        pairs = recounted(latest)
-        if len(pending) >= refresh:
-            merged_words = table.select(apply_merges("seg", pending).alias("seg"), "freq")
-            previous, table = table, stored_words(merged_words.filter(F.length("seg") > 1))
-            previous.unpersist()
-            pending = []
-    table.unpersist()
-    drop_path(spark, run)
+        if len(tokens) < vocab_size:
+            index.merge(batch, fold=known or index.rounds_to_fold >= refresh)
+    index.close()
     return Tokenizer(
-        tokens=tuple(symbols.tokens),
+        tokens=tuple(tokens),
         merges=tuple(merges),
         specials=tuple(specials),
         add_prefix_space=add_prefix_space,

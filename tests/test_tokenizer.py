@@ -50,11 +50,11 @@ def random_texts(seed, n=60):
     ]
 
 
-@pytest.mark.parametrize("seed, refresh, top", [(1, 48, 256), (2, 1, 256), (3, 5, 3)])
-def test_training_and_coding_agree_with_the_tokenizers_package(spark, seed, refresh, top):
+@pytest.mark.parametrize("seed, refresh, top, hot", [(1, 48, 256, 9999), (2, 1, 256, 9999), (3, 5, 3, 9999), (4, 5, 9, 7)])
+def test_training_and_coding_agree_with_the_tokenizers_package(spark, seed, refresh, top, hot):
     texts = random_texts(seed)
     words = word_counts(corpus(spark, texts))
-    ours = train_bpe(words, 261 + 40, refresh=refresh, top_pairs=top)
+    ours = train_bpe(words, 261 + 40, refresh=refresh, top_pairs=top, hot_pairs=hot)
     theirs = package_tokenizer(texts, 261 + 40)
     assert ours.merges == merges_of(theirs)
     assert dict(ours.ids) == theirs.get_vocab()
