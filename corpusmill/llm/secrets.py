@@ -36,9 +36,6 @@ KINDS = ("assign", "access", "hex", "entropy")
 _FAR = 2**31 - 1
 
 
-# Elements that a list grows by one at a time before it is put away as a block: growing one long
-# list would copy it at each step.
-BLOCK = 256
 # Code points of a piece, in which places of long texts are looked up.
 PIECE = 1024
 
@@ -91,25 +88,35 @@ def _bound(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def _empty(item: str) -> list[Column]:
-    """The fields of a list that grows in blocks."""
-    return [
-        F.array().cast(f"array<array<{item}>>").alias("done"),
-        F.array().cast(f"array<{item}>").alias("part"),
-    ]
+def _swept(items: Column, start: dict[str, Column], step, item: str, last=None) -> Column:
+    """What the steps of a fold emit, as a list of ``item``.
 
+    ``step(state, x)`` gives the next state, a struct, and whether something is emitted, and that;
+    ``last`` gives what the final state emits. A fold copies its whole state at each step, so the
+    list is grown block by block, with as many blocks as a block has items.
+    """
+    nothing = F.array().cast(f"array<{item}>").alias("out")
+
+    def emitted(state: Column, x: Column) -> Column:
+        following, more, one = step(state, x)
+        out = F.when(more, F.concat(state["out"], F.array(one))).otherwise(state["out"])
+        return _bound(following, lambda now: F.struct(*[now[k].alias(k) for k in start], out.alias("out")))
+
+    def whole(xs: Column) -> Column:
+        size = F.ceil(F.sqrt(F.size(xs))).cast("int") + 1
 
-def _added(state: Column, more: Column, item: Column) -> list[Column]:
-    """The list with ``item`` if ``more``."""
-    full = F.size(state["part"]) >= BLOCK
-    one = F.array(item)
-    done = F.when(more & full, F.concat(state["done"], F.array(state["part"]))).otherwise(state["done"])
-    part = F.when(~more, state["part"]).when(full, one).otherwise(F.concat(state["part"], one))
-    return [done.alias("done"), part.alias("part")]
+        def block(state: Column, k: Column) -> Column:
+            joined = lambda end: F.struct(
+                *[end[c].alias(c) for c in start], F.concat(state["out"], end["out"]).alias("out")
+            )
+            begin = F.struct(*[state[c].alias(c) for c in start], nothing)
+            return F.aggregate(F.slice(xs, k * size + 1, size), begin, emitted, joined)
 
+        begin = F.struct(*[v.alias(c) for c, v in start.items()], nothing)
+        rest = (lambda end: end["out"]) if last is None else (lambda end: F.concat(end["out"], last(end)))
+        return F.aggregate(F.sequence(F.lit(0), size - 1), begin, block, rest)
 
-def _listed(state: Column) -> Column:
-    return F.flatten(F.concat(state["done"], F.array(state["part"])))
+    return _bound(items, whole)
 
 
 def _spans(text: Column, pattern: str, kind: str, ok: Column | None = None) -> Column:
@@ -123,7 +130,7 @@ def _spans(text: Column, pattern: str, kind: str, ok: Column | None = None) -> C
     # One gap more than matches: the last pair has no match.
     pairs = F.slice(pairs, F.lit(1), F.size(gaps) - 1)
 
-    def place(seen: Column, pair: Column) -> Column:
+    def place(seen: Column, pair: Column):
         start = seen["at"] + F.length(pair["gap"])
         end = start + F.length(pair["found"])
         span = F.struct(
@@ -132,12 +139,10 @@ def _spans(text: Column, pattern: str, kind: str, ok: Column | None = None) -> C
             end.alias("end"),
             pair["found"].alias("found"),
         )
-        more = F.lit(True) if ok is None else pair["ok"]
-        return F.struct(end.alias("at"), *_added(seen, more, span))
+        return F.struct(end.alias("at")), F.lit(True) if ok is None else pair["ok"], span
 
     item = "struct<start:int,kind:int,end:int,found:string>"
-    first = F.struct(F.lit(0).alias("at"), *_empty(item))
-    placed = F.aggregate(pairs, first, place, _listed)
+    placed = _swept(pairs, {"at": F.lit(0)}, place, item)
     none = F.array().cast(f"array<{item}>")
     return F.when(F.rlike(text, F.lit(pattern)), placed).otherwise(none)
 
@@ -212,33 +217,34 @@ def _runs(found: Column, chars: Column, rule: EntropyRule) -> Column:
         def follow(seen: Column) -> Column:
             now, random, begin = seen["now"], seen["random"], at - window + 1
             apart = random & (begin > state["last"])
-            run = F.struct(state["first"].alias("first"), state["last"].alias("last"))
             return F.struct(
                 *[now[k].alias(k) for k in ("counts", "total", *kinds)],
                 state["whole"].alias("whole"),
-                F.when(apart | (random & (state["last"] < 0)), begin).otherwise(state["first"]).alias("first"),
+                F.when(apart, begin).otherwise(state["first"]).alias("first"),
                 F.when(random, at + 1).otherwise(state["last"]).alias("last"),
-                *_added(state, apart & (state["last"] >= 0), run),
+                F.when(apart, state["first"]).otherwise(-1).alias("closed_first"),
+                F.when(apart, state["last"]).otherwise(-1).alias("closed_last"),
             )
 
         return _bound(F.get(chars, at), entered)
 
-    item = "struct<first:int,last:int>"
-    start = F.struct(
-        F.create_map().cast("map<string,int>").alias("counts"),
-        F.lit(0.0).alias("total"),
-        *[F.lit(0).alias(k) for k in kinds],
-        whole.alias("whole"),
-        F.lit(-1).alias("first"),
-        F.lit(-1).alias("last"),
-        *_empty(item),
+    # A run is open until another one begins, and emitted by the step after that.
+    open_run = lambda s: F.struct(s["first"].alias("first"), s["last"].alias("last"))
+    closed_run = lambda s: F.struct(s["closed_first"].alias("first"), s["closed_last"].alias("last"))
+    start = {
+        "counts": F.create_map().cast("map<string,int>"),
+        "total": F.lit(0.0),
+        **{k: F.lit(0) for k in kinds},
+        "whole": whole,
+        **{k: F.lit(-1) for k in ("first", "last", "closed_first", "closed_last")},
+    }
+    runs = _swept(
+        F.sequence(F.lit(0), F.size(chars) - 1),
+        start,
+        lambda state, at: (slide(state, at), state["closed_last"] >= 0, closed_run(state)),
+        "struct<first:int,last:int>",
+        lambda end: F.filter(F.array(closed_run(end), open_run(end)), lambda r: r["last"] >= 0),
     )
-
-    def closed(state: Column) -> Column:
-        last = F.array(F.struct(state["first"].alias("first"), state["last"].alias("last")))
-        return F.concat(_listed(state), F.when(state["last"] >= 0, last).otherwise(F.array().cast(f"array<{item}>")))
-
-    runs = F.aggregate(F.sequence(F.lit(0), F.size(chars) - 1), start, slide, closed)
     text_of = lambda r: F.array_join(F.slice(chars, r["first"] + 1, r["last"] - r["first"]), "")
     return F.filter(runs, lambda r: ~F.rlike(text_of(r), F.lit(rule.allowed)))
 
@@ -262,25 +268,20 @@ def _without(runs: Column, base: Column) -> Column:
         )
     )
 
-    def sweep(state: Column, event: Column) -> Column:
+    def sweep(state: Column, event: Column):
         # A base span or another run ends what is open of a run, or takes its beginning away.
         is_run = event["run"] == 1
         stop = F.least(state["end"], event["start"])
         part = F.struct(state["at"].alias("start"), F.lit(KINDS.index("entropy")).alias("kind"), stop.alias("end"))
         covered = F.when(is_run, state["covered"]).otherwise(F.greatest(state["covered"], event["end"]))
         at = F.when(is_run, F.greatest(event["start"], state["covered"])).otherwise(F.greatest(state["at"], event["end"]))
-        return F.struct(
-            covered.alias("covered"),
-            at.alias("at"),
-            F.when(is_run, event["end"]).otherwise(state["end"]).alias("end"),
-            *_added(state, state["at"] < stop, part),
-        )
+        end = F.when(is_run, event["end"]).otherwise(state["end"])
+        return F.struct(covered.alias("covered"), at.alias("at"), end.alias("end")), state["at"] < stop, part
 
     item = "struct<start:int,kind:int,end:int>"
-    start = F.struct(*[F.lit(0).alias(c) for c in ("covered", "at", "end")], *_empty(item))
     # A last event behind everything closes what is open.
     last = F.array(F.struct(F.lit(_FAR).alias("start"), F.lit(_FAR).alias("end"), F.lit(0).alias("run")))
-    swept = F.aggregate(F.concat(events, last), start, sweep, _listed)
+    swept = _swept(F.concat(events, last), {c: F.lit(0) for c in ("covered", "at", "end")}, sweep, item)
     return F.when(F.size(runs) > 0, swept).otherwise(F.array().cast(f"array<{item}>"))
 
 
@@ -352,20 +353,19 @@ def mask_secrets(docs: DataFrame, mask: str = "[SECRET]", rule: EntropyRule | No
     numbered = [docs[c].alias(f"_{i}") for i, c in enumerate(names)]
     found = secret_spans(docs.select(*numbered, "text"), rule)
 
-    def join(seen: Column, span: Column) -> Column:
+    open_span = lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))
+
+    def join(seen: Column, span: Column):
         # What is open goes to the list when a span starts behind it.
         apart = span["start"] > seen["end"]
-        open_span = F.struct(seen["start"].alias("start"), seen["end"].alias("end"))
-        return F.struct(
-            F.when(apart, span["start"]).otherwise(seen["start"]).alias("start"),
-            F.when(apart, span["end"]).otherwise(F.greatest(seen["end"], span["end"])).alias("end"),
-            *_added(seen, apart & (seen["end"] >= 0), open_span),
-        )
-
-    nothing = F.struct(F.lit(-1).alias("start"), F.lit(-1).alias("end"), *_empty("struct<start:int,end:int>"))
-    closed = lambda s: F.concat(_listed(s), F.array(F.struct(s["start"].alias("start"), s["end"].alias("end"))))
-    none = F.array().cast("array<struct<start:int,end:int>>")
-    joined = F.when(F.size("spans") > 0, F.aggregate("spans", nothing, join, closed)).otherwise(none)
+        start = F.when(apart, span["start"]).otherwise(seen["start"])
+        end = F.when(apart, span["end"]).otherwise(F.greatest(seen["end"], span["end"]))
+        return F.struct(start.alias("start"), end.alias("end")), apart & (seen["end"] >= 0), open_span(seen)
+
+    item = "struct<start:int,end:int>"
+    found_any = {"start": F.lit(-1), "end": F.lit(-1)}
+    joined = _swept(F.col("spans"), found_any, join, item, lambda end: F.array(open_span(end)))
+    joined = F.when(F.size("spans") > 0, joined).otherwise(F.array().cast(f"array<{item}>"))
     merged = once(found, "_merged", joined)
     starts = F.concat(F.transform("_merged", lambda s: s["start"]), F.array(F.length("text")))
     ends = F.concat(F.array(F.lit(0)), F.transform("_merged", lambda s: s["end"]))

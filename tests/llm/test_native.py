@@ -140,8 +140,7 @@ def test_all_spans_and_masks_equal_brute_force(spark, monkeypatch):
     allowed = secrets.EntropyRule().allowed
     texts = some_texts(1, 400)
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(4)
-    for block, piece in ((256, 1024), (2, 7)):
-        monkeypatch.setattr(secrets, "BLOCK", block)
+    for piece in (1024, 7):
         monkeypatch.setattr(secrets, "PIECE", piece)
         found = {r.doc_id: [tuple(s) for s in r.spans] for r in secrets.secret_spans(df).collect()}
         clean = {r.doc_id: r.text for r in secrets.mask_secrets(df).collect()}
@@ -165,7 +164,7 @@ def test_long_candidates_take_time_in_proportion(spark):
     start = time.time()
     rows = {r.doc_id: [tuple(s) for s in r.spans] for r in secrets.secret_spans(df).collect()}
     clean = {r.doc_id: r.text for r in secrets.mask_secrets(df.filter("doc_id > 1")).collect()}
-    assert time.time() - start < 150
+    assert time.time() - start < 120
     assert rows[3] == [] and clean[3] == "=" * 300_000
     assert sum(e - s for s, _, e in rows[1]) > 990_000
     base = brute.secret_base(many)[4]
