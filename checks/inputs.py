@@ -12,7 +12,7 @@ from corpusmill.operators.tokenizer import SPECIAL_TOKENS, Tokenizer
 from corpusmill.operators.vocabulary import train_bpe, word_counts
 from corpusmill.session import prepare_session, scratch_path
 
-MERGES = 12
+MERGES = 256
 MAX_LENGTH = 512
 
 _tokenizers: dict[tuple[str, str, int], Tokenizer] = {}

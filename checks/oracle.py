@@ -1,7 +1,7 @@
 """DuckDB SQL giving the same rows as each registered query.
 
 The SQL takes its own route: set operations on lists and windows instead of the library's
-column expressions. Sums of merges are written out, one common table per merge.
+column expressions. Merges are found by a recursive table whose rows are the words.
 """
 
 from __future__ import annotations
@@ -132,34 +132,37 @@ counts AS (SELECT w AS word, count(*) AS freq FROM doc_words GROUP BY w)
 
 
 def _training() -> str:
-    """Common tables ``p1 … pn`` (best pair of each round) and ``names`` (token texts)."""
-    parts = [
-        DOC_WORDS,
-        f"s0 AS MATERIALIZED (SELECT freq, array_to_string("
-        f"{_per_byte('word', BYTE_CHAR_LIST)}, '') AS seg FROM counts)",
-        "n0 AS (SELECT [" + ", ".join(_text(t) for t in [*SPECIAL_TOKENS, *_ORDERED]) + "] AS t)",
-    ]
-    for k in range(1, MERGES + 1):
-        new = f"chr({256 + 260 + k})"
-        parts += [
-            f"""p{k} AS MATERIALIZED (
-  SELECT pair FROM (
-    SELECT unnest(list_transform(range(1, length(seg)), lambda i: substr(seg, i, 2))) AS pair, freq
-    FROM s{k - 1} WHERE length(seg) > 1)
-  GROUP BY pair HAVING sum(freq) >= 2 ORDER BY sum(freq) DESC, pair LIMIT 1)""",
-            f"""s{k} AS MATERIALIZED (
-  SELECT freq, replace(seg, (SELECT pair FROM p{k}), {new}) AS seg FROM s{k - 1})""",
-            f"""n{k} AS (
-  SELECT list_append(t, t[unicode(substr(pair, 1, 1)) - 255] || t[unicode(substr(pair, 2, 1)) - 255]) AS t
-  FROM n{k - 1}, p{k})""",
-        ]
-    return ",\n".join(parts)
+    """Common tables ``hist`` (three characters a merge: left, right, merged) and ``names``.
+
+    Each step of ``train`` merges the best pair in all words that have one; the row of frequency 0
+    gathers the merges.
+    """
+    return f"""{DOC_WORDS},
+train(w, freq, seg, k) USING KEY (w) AS (
+  SELECT word, freq, array_to_string({_per_byte('word', BYTE_CHAR_LIST)}, ''), 0 FROM counts
+  UNION ALL SELECT '', 0, '', 0
+  UNION
+  SELECT w, freq, CASE WHEN freq = 0 THEN seg || pair || chr(517 + k) ELSE replace(seg, pair, chr(517 + k)) END, k + 1
+  FROM train, (
+    SELECT pair FROM (
+      SELECT unnest(list_transform(range(1, length(seg)), lambda i: substr(seg, i, 2))) AS pair, freq
+      FROM train WHERE freq > 0 AND length(seg) > 1)
+    GROUP BY pair HAVING sum(freq) >= 2 ORDER BY sum(freq) DESC, pair LIMIT 1)
+  WHERE k < {MERGES} AND (freq = 0 OR length(seg) > 1)),
+hist AS MATERIALIZED (SELECT regexp_extract_all(seg, '(?s)...') AS merges FROM train WHERE freq = 0),
+names(k, t) AS (
+  SELECT 0, [{', '.join(_text(t) for t in [*SPECIAL_TOKENS, *_ORDERED])}]
+  UNION ALL
+  SELECT k + 1, list_append(t, t[unicode(substr(merges[k + 1], 1, 1)) - 255] || t[unicode(substr(merges[k + 1], 2, 1)) - 255])
+  FROM names, hist WHERE k < len(merges)),
+named AS MATERIALIZED (SELECT t FROM names ORDER BY k DESC LIMIT 1)"""
 
 
 def _merged(expr: str) -> str:
-    for k in range(1, MERGES + 1):
-        expr = f"replace({expr}, (SELECT pair FROM p{k}), chr({256 + 260 + k}))"
-    return expr
+    return (
+        f"list_reduce((SELECT merges FROM hist), "
+        f"lambda a, m: replace(a, substr(m, 1, 2), substr(m, 3, 1)), {expr})"
+    )
 
 
 def _coded(words: str, key: str, out: str) -> str:
@@ -244,8 +247,12 @@ WITH {RAW} SELECT line_no, CAST(json_valid(value) AS INT) AS is_json,
   CASE WHEN json_valid(value) THEN json_extract_string(value, '$.title') END AS title FROM raw"""
 
 _SQL["detect_layout"] = """
-SELECT DISTINCT k AS kind, k AS layout
-FROM (SELECT unnest(['array', 'jsonl']) AS k FROM conversations)"""
+WITH turns AS (
+  SELECT list({'from': role, 'value': text} ORDER BY turn) AS conversations FROM conversations GROUP BY conv_id),
+files AS (
+  SELECT 'array' AS kind, string_agg(to_json(conversations)::VARCHAR, chr(10)) AS body FROM turns
+  UNION ALL SELECT 'jsonl', string_agg(json_object('conversations', conversations)::VARCHAR, chr(10)) FROM turns)
+SELECT kind, CASE WHEN left(ltrim(body), 1) = '[' THEN 'array' ELSE 'jsonl' END AS layout FROM files"""
 
 _SQL["read_json_array"] = """
 SELECT conv_id, CAST(count(*) AS INT) AS turns, string_agg(text, '|' ORDER BY turn) AS texts
@@ -291,7 +298,7 @@ _SQL["saved_tokenizer"] = f"""
 WITH {_training()}
 SELECT unnest(t) AS token, CAST(generate_subscripts(t, 1) - 1 AS INT) AS id,
   generate_subscripts(t, 1) <= {len(SPECIAL_TOKENS)} AS special
-FROM n{MERGES}"""
+FROM named"""
 
 # Projections and filters ----------------------------------------------------
 
@@ -445,11 +452,11 @@ symbols AS (SELECT freq, {_per_byte('word', BYTE_SYMBOL_LIST)} AS s FROM counts)
 SELECT pair[1] AS l, pair[2] AS r, CAST(sum(freq) AS BIGINT) AS n
 FROM (SELECT unnest(list_transform(range(1, len(s)), lambda i: s[i:i + 1])) AS pair, freq FROM symbols)
 GROUP BY 1, 2"""
-_SQL["train_bpe"] = f"WITH {_training()}\n" + "\nUNION ALL\n".join(
-    f"SELECT {k - 1} AS rank, t[unicode(substr(pair, 1, 1)) - 255] AS left, "
-    f"t[unicode(substr(pair, 2, 1)) - 255] AS right FROM n{k - 1}, p{k}"
-    for k in range(1, MERGES + 1)
-)
+_SQL["train_bpe"] = f"""
+WITH {_training()}
+SELECT CAST(i AS INT) AS rank, t[unicode(substr(merges[i + 1], 1, 1)) - 255] AS left,
+  t[unicode(substr(merges[i + 1], 2, 1)) - 255] AS right
+FROM hist, named, range(len(merges)) r(i)"""
 _SQL["encode"] = f"""
 WITH {_doc_coded()}
 SELECT doc_id, CAST(len(ids) AS INT) AS tokens, {_joined('ids')} AS ids FROM doc_ids"""
@@ -458,7 +465,7 @@ WITH {RENDERED} SELECT conv_id, r AS decoded,
   replace(replace(r, '<|im_start|>', ''), '<|im_end|>', '') AS plain FROM rendered"""
 _SQL["token_to_id"] = f"""
 WITH {_training()},
-vocab AS (SELECT unnest(t) AS token, generate_subscripts(t, 1) - 1 AS id FROM n{MERGES}),
+vocab AS (SELECT unnest(t) AS token, generate_subscripts(t, 1) - 1 AS id FROM named),
 asked AS (SELECT DISTINCT replace(word, ' ', 'Ġ') AS token FROM counts)
 SELECT token, CAST(coalesce(id, 0) AS INT) AS id FROM asked LEFT JOIN vocab USING (token)"""
 
@@ -519,15 +526,42 @@ _SQL["coverage_summary"] = f"""
 WITH {_doc_coded()}, {_DOC_TOTALS}
 SELECT lang, count(*) AS words, CAST(sum(n) AS BIGINT) AS tokens, CAST(sum(c) AS BIGINT) AS chars,
   round(sum(c) / sum(n), 6) AS chars_per_token FROM totals GROUP BY lang"""
+# The bytes of each token, in hex, and the text of ids.
+_TOKEN_HEX = f"""
+token_hex AS MATERIALIZED (SELECT list_transform(t, lambda x: array_to_string(list_transform(string_split(x, ''),
+  lambda c: printf('%02X', list_position([{', '.join(map(_text, SYMBOLS))}], c) - 1)), '')) AS h FROM named)
+"""
+
+
+def _back(ids: str) -> str:
+    return f"decode(unhex(array_to_string(list_transform({ids}, lambda i: h[i + 1]), '')))"
+
+
+def _stripped(text: str) -> str:
+    return f"regexp_replace({text}, '^\\s+|\\s+$', '', 'g')"
+
+
+_TRIPS = f"""
+trips AS (
+  SELECT documents.lang, len(ids) AS n,
+    CAST({_stripped(_back('list_filter(ids, lambda i: i > 4)'))} = {_stripped('text')} AS INT) AS same
+  FROM documents JOIN doc_ids USING (doc_id), token_hex)
+"""
 _SQL["round_trip"] = f"""
-WITH {_doc_coded()}, {_DOC_TOTALS}
-SELECT lang, count(*) AS texts, CAST(sum(n) AS BIGINT) AS tokens, CAST(1 AS DOUBLE) AS round_trip
-FROM totals GROUP BY lang"""
+WITH {_doc_coded()}, {_TOKEN_HEX}, {_TRIPS}
+SELECT lang, count(*) AS texts, CAST(sum(n) AS BIGINT) AS tokens, avg(same) AS round_trip
+FROM trips GROUP BY lang"""
+_LISTED = f"[{', '.join(map(_text, SPECIAL_TOKENS))}]"
 _SQL["special_retention"] = f"""
-WITH {_chat_coded()}
-SELECT conv_id, CAST(len(ids) + 2 AS INT) AS tokens,
-  '<s> </s> <|im_start|> <|im_end|>' AS present, '<s> </s> <|im_start|> <|im_end|>' AS kept
-FROM chat_ids"""
+WITH {_chat_coded()}, {RENDERED}, {_TOKEN_HEX},
+framed AS (
+  SELECT conv_id, '<s>' || r || '</s>' AS text, list_concat([1], ids, [2]) AS ids
+  FROM rendered JOIN chat_ids USING (conv_id)),
+back AS (SELECT conv_id, text, ids, {_back('ids')} AS back FROM framed, token_hex)
+SELECT conv_id, CAST(len(ids) AS INT) AS tokens,
+  array_to_string(list_filter({_LISTED}, lambda s: contains(text, s)), ' ') AS present,
+  array_to_string(list_filter({_LISTED}, lambda s: contains(text, s) AND contains(back, s)), ' ') AS kept
+FROM back"""
 _PROMPT = (
     "UNION ALL SELECT DISTINCT conv_id, 1000000, '<|im_start|>', 3 FROM chats "
     f"UNION ALL SELECT DISTINCT conv_id, 1000001, 'assistant' || {NL}, NULL FROM chats"
@@ -539,23 +573,26 @@ checked AS (SELECT conv_id, CAST(least(len(ids), 256) AS INT) AS tokens,
 """
 _SQL["chat_check"] = f"""
 WITH {_chat_coded(_PROMPT)}, {_CHECKED} SELECT conv_id, tokens, frames_kept FROM checked"""
-_SQL["oov_rate"] = """
-SELECT source, count(*) AS words, CAST(0 AS DOUBLE) AS oov FROM documents GROUP BY source"""
+_SQL["oov_rate"] = f"""
+WITH {_doc_coded()}
+SELECT source, count(*) AS words, avg(CAST(list_contains(ids, 0) AS INT)) AS oov
+FROM documents JOIN doc_ids USING (doc_id) GROUP BY source"""
 
 _SQL["tokenizer_report"] = f"""
 WITH {_chat_coded(_PROMPT)}, {_CHECKED},
 doc_occ AS (SELECT doc_id, pos AS place, w, CAST(NULL AS INT) AS special FROM doc_words),
 {_coded("doc_occ", "doc_id", "doc")}, {_DOC_TOTALS},
 word_occ AS (SELECT word, 1 AS place, word AS w, CAST(NULL AS INT) AS special FROM counts),
-{_coded("word_occ", "word", "word")}, {_COVERED},
+{_coded("word_occ", "word", "word")}, {_COVERED}, {_TOKEN_HEX}, {_TRIPS},
 report AS (
-  SELECT 'vocab_size' AS metric, 'all' AS "group", CAST(len(t) AS DOUBLE) AS value FROM n{MERGES}
-  UNION ALL SELECT 'special_id', t[i], i - 1 FROM n{MERGES}, range(2, 6) r(i)
+  SELECT 'vocab_size' AS metric, 'all' AS "group", CAST(len(t) AS DOUBLE) AS value FROM named
+  UNION ALL SELECT 'special_id', t[i], i - 1 FROM named, range(2, 6) r(i)
   UNION ALL SELECT 'texts', lang, count(*) FROM totals GROUP BY lang
   UNION ALL SELECT 'tokens', lang, sum(n) FROM totals GROUP BY lang
-  UNION ALL SELECT 'round_trip', lang, 1 FROM totals GROUP BY lang
-  UNION ALL SELECT 'specials_present', 'all', 0
-  UNION ALL SELECT 'specials_kept', 'all', 0
+  UNION ALL SELECT 'round_trip', lang, avg(same) FROM trips GROUP BY lang
+  UNION ALL SELECT 'specials_present', 'all', sum(len(list_filter({_LISTED}, lambda s: contains(text, s)))) FROM documents
+  UNION ALL SELECT 'specials_kept', 'all', sum(len(list_filter({_LISTED}, lambda s: contains(text, s)
+    AND contains({_back('ids')}, s)))) FROM documents JOIN doc_ids USING (doc_id), token_hex
   UNION ALL SELECT 'chat_tokens', 'all', sum(tokens) FROM checked
   UNION ALL SELECT 'chat_frames_kept', 'all', avg(frames_kept) FROM checked
   UNION ALL SELECT 'words_by_class',
@@ -565,7 +602,7 @@ report AS (
   UNION ALL SELECT 'word_chars', 'all', sum(chars) FROM covered
   UNION ALL SELECT 'chars_per_token', 'all', sum(chars) / sum(tokens) FROM covered
   UNION ALL SELECT 'words', 'all', count(*) FROM covered
-  UNION ALL SELECT 'oov', 'all', 0)
+  UNION ALL SELECT 'oov', 'all', avg(CAST(list_contains(ids, 0) AS INT)) FROM word_ids)
 SELECT metric, "group", round(value, 6) AS value FROM report"""
 
 _SQL["supervised_tokens"] = f"""
@@ -609,4 +646,5 @@ FROM rendered JOIN bits USING (conv_id)"""
 
 
 def all_sql() -> dict[str, str]:
-    return dict(_SQL)
+    recursive = {k: v.replace("WITH", "WITH RECURSIVE", 1) for k, v in _SQL.items() if "USING KEY" in v}
+    return _SQL | recursive

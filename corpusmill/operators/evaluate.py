@@ -23,8 +23,7 @@ def _share(flag: Column) -> Column:
     return F.avg(F.when(flag, 1.0).otherwise(0.0))
 
 
-def coverage(df: DataFrame, tok: Tokenizer, col: str = "word") -> DataFrame:
-    """Tokens, characters, characters per token, and class (1, 2-3, more) of each word."""
+def _sized(df: DataFrame, tok: Tokenizer, col: str) -> DataFrame:
     n = F.col("tokens")
     return (
         encode(df, tok, col, "_ids")
@@ -32,10 +31,14 @@ def coverage(df: DataFrame, tok: Tokenizer, col: str = "word") -> DataFrame:
         .withColumn("chars", F.length(col))
         .withColumn("chars_per_token", F.col("chars") / F.greatest(n, F.lit(1)))
         .withColumn("token_class", F.when(n == 1, "1").when(n <= 3, "2-3").otherwise(">3"))
-        .drop("_ids")
     )
 
 
+def coverage(df: DataFrame, tok: Tokenizer, col: str = "word") -> DataFrame:
+    """Tokens, characters, characters per token, and class (1, 2-3, more) of each word."""
+    return _sized(df, tok, col).drop("_ids")
+
+
 def coverage_summary(
     df: DataFrame, tok: Tokenizer, col: str = "word", by: list[str] | None = None
 ) -> DataFrame:
@@ -128,11 +131,16 @@ def special_ids(spark: SparkSession, tok: Tokenizer) -> DataFrame:
     return token_to_id(listed, tok).filter(F.col("id") != tok.unk_id)
 
 
-def _long(df: DataFrame, metrics: list[str], group: Column) -> DataFrame:
-    pairs = F.array(
-        *[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in metrics]
-    )
-    return df.select(group.alias("group"), F.inline(pairs)).select("metric", "group", "value")
+def _metrics(df: DataFrame, per_group: list[str], in_all: list[str]) -> DataFrame:
+    """``(metric, group, value)`` from a rollup by ``_group``: its groups and its total."""
+
+    def named(metrics: list[str]) -> Column:
+        pairs = [F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in metrics]
+        return F.array(*pairs)
+
+    group = F.when(F.col("_total"), F.lit("all")).otherwise(F.col("_group")).alias("group")
+    chosen = F.when(F.col("_total"), named(in_all)).otherwise(named(per_group))
+    return df.select(group, F.inline(chosen)).select("metric", "group", "value")
 
 
 def tokenizer_report(
@@ -145,38 +153,60 @@ def tokenizer_report(
     """Every check as rows ``(metric, group, value)``.
 
     ``texts`` holds ``text``, ``chats`` holds ``messages``, ``words`` holds ``word``; ``by`` is
-    an optional grouping column of ``texts``.
+    an optional grouping column of ``texts``. Each input is encoded once: groups and totals come
+    from one rollup.
     """
     spark = texts.sparkSession
-    everything = F.lit("all")
-    group = F.coalesce(F.col(by).cast("string"), F.lit("")) if by else everything
-    keys = [by] if by else []
-
-    size = spark.createDataFrame([(float(tok.vocab_size),)], "vocab_size double")
-    ids = special_ids(spark, tok)
-    trips = round_trip(texts, tok, "text", keys)
-    kept = special_retention(texts, tok).agg(
-        F.coalesce(F.sum(F.size("present")), F.lit(0)).alias("specials_present"),
-        F.coalesce(F.sum(F.size("kept")), F.lit(0)).alias("specials_kept"),
+    is_total = (F.grouping_id() > 0).alias("_total")
+
+    group = F.coalesce(F.col(by).cast("string"), F.lit("")) if by else F.lit("all")
+    names = F.array(*[F.lit(s) for s in tok.specials])
+    present = F.filter(names, lambda s: F.contains(F.col("text"), s))
+    back = decode(_round_trips(texts.select(group.alias("_group"), "text"), tok, "text"), tok, "_ids", "_back")
+    of_texts = (
+        back.withColumn("_present", present)
+        .withColumn("_kept", F.filter("_present", lambda s: F.contains(F.col("_back"), s)))
+        .rollup("_group")
+        .agg(
+            is_total,
+            F.count(F.lit(1)).alias("texts"),
+            F.sum(F.size("_ids")).alias("tokens"),
+            _share(F.col("same")).alias("round_trip"),
+            F.sum(F.size("_present")).alias("specials_present"),
+            F.sum(F.size("_kept")).alias("specials_kept"),
+        )
+    )
+    of_chats = chat_check(chats, tok).agg(
+        F.lit(True).alias("_total"),
+        F.lit("all").alias("_group"),
+        F.sum("tokens").alias("chat_tokens"),
+        _share(F.col("frames_kept")).alias("chat_frames_kept"),
     )
-    frames = chat_check(chats, tok).agg(
-        F.sum("tokens").alias("chat_tokens"), _share(F.col("frames_kept")).alias("chat_frames_kept")
+    unknown = F.array_contains("_ids", tok.unk_id)
+    of_words = (
+        _sized(words, tok, "word")
+        .rollup(F.col("token_class").alias("_group"))
+        .agg(
+            is_total,
+            F.count(F.lit(1)).alias("words"),
+            F.sum("tokens").alias("word_tokens"),
+            F.sum("chars").alias("word_chars"),
+            _share(unknown).alias("oov"),
+        )
+        .withColumn("words_by_class", F.col("words"))
+        .withColumn("chars_per_token", F.col("word_chars") / F.nullif(F.col("word_tokens"), F.lit(0)))
     )
-    sized = coverage(words, tok)
-    classes = sized.groupBy("token_class").agg(F.count(F.lit(1)).alias("words_by_class"))
-    total = coverage_summary(words, tok)
+    counts = ["specials_present", "specials_kept", "words"]
+    shares = ["chat_tokens", "chat_frames_kept", "word_tokens", "word_chars", "chars_per_token", "oov"]
+    # An empty input has no total; its counts are 0 and its shares null.
+    fixed = [("vocab_size", "all", float(tok.vocab_size)), *[(m, "all", 0.0) for m in counts]]
+    fixed += [(m, "all", None) for m in shares]
+    ids = special_ids(spark, tok).select(F.lit("special_id"), "token", F.col("id").cast("double"))
     parts = [
-        _long(size, ["vocab_size"], everything),
-        _long(ids.withColumnRenamed("id", "special_id"), ["special_id"], F.col("token")),
-        _long(trips, ["texts", "tokens", "round_trip"], group),
-        _long(kept, ["specials_present", "specials_kept"], everything),
-        _long(frames, ["chat_tokens", "chat_frames_kept"], everything),
-        _long(classes, ["words_by_class"], F.col("token_class")),
-        _long(
-            total.withColumnRenamed("tokens", "word_tokens").withColumnRenamed("chars", "word_chars"),
-            ["word_tokens", "word_chars", "chars_per_token"],
-            everything,
-        ),
-        _long(oov_rate(words, tok), ["words", "oov"], everything),
+        spark.createDataFrame(fixed, "metric string, group string, value double"),
+        ids,
+        _metrics(of_texts, ["texts", "tokens", "round_trip"], ["specials_present", "specials_kept"]),
+        _metrics(of_chats, [], ["chat_tokens", "chat_frames_kept"]),
+        _metrics(of_words, ["words_by_class"], ["word_tokens", "word_chars", "chars_per_token", "words", "oov"]),
     ]
-    return reduce(DataFrame.unionByName, parts)
+    return reduce(DataFrame.union, parts).groupBy("metric", "group").agg(F.max("value").alias("value"))
