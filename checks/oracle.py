@@ -300,6 +300,12 @@ SELECT unnest(t) AS token, CAST(generate_subscripts(t, 1) - 1 AS INT) AS id,
   generate_subscripts(t, 1) <= {len(SPECIAL_TOKENS)} AS special
 FROM named"""
 
+_SQL["tokenizer_json"] = _SQL["saved_tokenizer"]
+
+_SQL["lookup_lines"] = f"""
+WITH {LINES}
+SELECT value, count(*) AS lines FROM lines WHERE octet_length(encode(value)) + 1 > 512 GROUP BY value"""
+
 # Projections and filters ----------------------------------------------------
 
 _SQL["nonblank"] = f"""

@@ -18,7 +18,8 @@ from corpusmill.operators import training_samples as training
 from corpusmill.operators import vocabulary
 from corpusmill.plans.training import pretrain_batches
 from corpusmill.session import scratch_path
-from corpusmill.sources import arrays, lines, sinks, tokenizer_store
+from corpusmill.sources import arrays, lines, ranges, sinks, tokenizer_store
+from corpusmill.sources import tokenizer_json as tokenizer_json_files
 from corpusmill.streaming.prepare import stream_prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -157,6 +158,21 @@ def saved_tokenizer(spark, sf):
     return tokenizer_store.load_tokenizer(spark, path).vocab_table(spark)
 
 
+@query
+def tokenizer_json(spark, sf):
+    path = scratch_path(spark, "tokenizer-json")
+    tokenizer_json_files.write_tokenizer_files(I.tokenizer(spark, sf), path)
+    return tokenizer_json_files.read_tokenizer_files(path).vocab_table(spark)
+
+
+@query
+def lookup_lines(spark, sf):
+    """Long lines of the stored documents, found in the index and read by their bytes."""
+    index = lines.line_index(spark, I.stored_texts(spark, sf))
+    asked = index.filter("byte_len > 512").select("file", "row_id")
+    return ranges.lookup_lines(index, asked).groupBy("value").agg(F.count(F.lit(1)).alias("lines"))
+
+
 # Projections and filters ----------------------------------------------------
 
 

@@ -11,12 +11,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from corpusmill.session import scratch_path
+
 # Rows of a bucket that one task sorts for a rank.
 BUCKET_ROWS = 50_000
+# With more digits the table of buckets would be too large to send to every task.
+MOST_DIGITS = 5
 
+# Fixed values -------------------------------------------------------------
 DEFAULT_MAX_LINES = 100_000
 TRAINING_BATCH = 10_000
 EPOCH_SEED = 42
+# --------------------------------------------------------------------------
 
 
 def block_offsets(counts: DataFrame, keys: list[str], n: str, out: str) -> DataFrame:
@@ -50,22 +56,42 @@ def _div(value: Column, by: int) -> Column:
     return F.call_function("div", value, F.lit(by))
 
 
+def id_parts(df: DataFrame, id_col: str, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """``(id, _n, _part)``: distinct ids with their rows, in ranges that follow the ids' quantiles.
+
+    Only ids move. They are written to the shared folder, since a range partition that is made a
+    second time may have other bounds.
+    """
+    spark = df.sparkSession
+    ids = df.filter(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.count(F.lit(1)).alias("_n"))
+    parts = max(1, -(-(df.agg(F.count(id_col)).first()[0]) // bucket_rows))
+    ranged = ids.repartitionByRange(parts, id_col).withColumn("_part", F.spark_partition_id())
+    path = scratch_path(spark, "ids")
+    ranged.write.parquet(path)
+    return spark.read.schema(ranged.schema).parquet(path)
+
+
 def rank_by_id(
     df: DataFrame, id_col: str, out: str = "rank", bucket_rows: int = BUCKET_ROWS
 ) -> DataFrame:
-    """0-based rank by a unique integer id.
+    """0-based rank by an integer id; rows of one id follow each other in any order.
 
-    Buckets are equal ranges between the least and the greatest id, one for about
-    ``bucket_rows`` rows, so the table of buckets is small however sparse the ids are.
+    Ids are ranked in ranges of about ``bucket_rows``, however they are spread, and the rows get
+    their ranks by a join on the id. Rows with a null id are left out.
     """
-    ends = df.agg(F.min(id_col).alias("low"), F.max(id_col).alias("high"), F.count(id_col).alias("n"))
-    low, high, n = ends.first()
-    low, high = low or 0, high or 0
-    width = max(1, -(-(high - low + 1) // max(1, -(-n // bucket_rows))))
-    # The distance from the least id may need more than 64 bits.
-    place = F.col(id_col).cast("decimal(38,0)") - F.lit(low).cast("decimal(38,0)")
-    bucket = F.call_function("div", place, F.lit(str(width)).cast("decimal(38,0)"))
-    return global_rank(df.withColumn("_range", bucket), ["_range"], [id_col], out).drop("_range")
+    parts = id_parts(df, id_col, bucket_rows)
+    counts = parts.groupBy("_part").agg(F.sum("_n").alias("_rows"))
+    offsets = block_offsets(counts, ["_part"], "_rows", "_before").drop("_rows")
+    earlier = Window.partitionBy("_part").orderBy(id_col).rowsBetween(Window.unboundedPreceding, -1)
+    first = (
+        parts.withColumn("_inner", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+        .join(offsets, "_part")
+        .select(id_col, (F.col("_before") + F.col("_inner")).alias("_first"))
+    )
+    rank = F.col("_first")
+    if (parts.agg(F.max("_n")).first()[0] or 0) > 1:
+        rank = rank + F.row_number().over(Window.partitionBy(id_col).orderBy(id_col)) - 1
+    return df.join(first, id_col).withColumn(out, rank).drop("_first")
 
 
 def take_lines(
@@ -93,32 +119,47 @@ def epoch_key(row_id: Column, seed: int, epoch: int | Column) -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), epoch.cast("string"), row_id.cast("string")))
 
 
+def epoch_digits(rows: int, bucket_rows: int = BUCKET_ROWS) -> int:
+    """Hex digits of a bucket, so that it holds ``bucket_rows`` rows or, at the most digits, more."""
+    return next((d for d in range(1, MOST_DIGITS) if 16**d * bucket_rows >= rows), MOST_DIGITS)
+
+
 def epoch_order(
     df: DataFrame,
     row_id: str = "row_id",
     seed: int = EPOCH_SEED,
     epoch: int = 0,
-    bucket_digits: int = 3,
+    bucket_digits: int | None = None,
     partitions: int | None = None,
 ) -> DataFrame:
     """Add ``rank``, a repeatable random permutation of the rows, and ``total``, their number.
 
     Rows are put in the order of ``md5(seed:epoch:row_id)``. The leading hex digits are the
-    bucket, so buckets are even whatever the data. Range partitioning by bucket serves the
-    ranking window and leaves the output in rank order: rows move once.
+    bucket, so buckets are even whatever the data; how many digits follows from the number of
+    rows, which is counted unless they are given. The rank does not depend on it. Range
+    partitioning by bucket serves the ranking window and leaves the output in rank order: rows
+    move once.
     """
+    digits = bucket_digits or epoch_digits(df.count())
     shuffled = df.withColumn("_key", epoch_key(F.col(row_id), seed, epoch)).withColumn(
-        "_bucket", F.substring("_key", 1, bucket_digits)
+        "_bucket", F.substring("_key", 1, digits)
+    )
+    # Rows before a bucket: those of the buckets with other first digits, and those of its own.
+    counts = shuffled.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n")).withColumn(
+        "_top", F.substring("_bucket", 1, 2)
     )
-    counts = shuffled.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    everything = Window.orderBy("_bucket").rowsBetween(
+    everything = Window.orderBy("_top").rowsBetween(
         Window.unboundedPreceding, Window.unboundedFollowing
     )
-    # At most 16 ** bucket_digits rows.
+    tops = block_offsets(counts.groupBy("_top").agg(F.sum("_n").alias("_n")), ["_top"], "_n", "_outer")
+    tops = tops.withColumn("total", F.sum("_n").over(everything)).drop("_n")
+    earlier = Window.partitionBy("_top").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    inner = F.coalesce(F.sum("_n").over(earlier), F.lit(0))
+    # At most 16 ** MOST_DIGITS rows.
     before = F.broadcast(
-        block_offsets(counts, ["_bucket"], "_n", "_before")
-        .withColumn("total", F.sum("_n").over(everything))
-        .drop("_n")
+        counts.withColumn("_inner", inner)
+        .join(F.broadcast(tops), "_top")
+        .select("_bucket", "total", (F.col("_outer") + F.col("_inner")).alias("_before"))
     )
     spread = (
         shuffled.repartitionByRange(partitions, "_bucket")
@@ -166,9 +207,10 @@ def epoch_batches(
     seed: int = EPOCH_SEED,
     epoch: int = 0,
     partitions: int | None = None,
+    bucket_digits: int | None = None,
 ) -> DataFrame:
     """Epoch order with ``batch_id``, ``update_id`` and ``applied``."""
-    ordered = epoch_order(df, row_id, seed, epoch, partitions=partitions)
+    ordered = epoch_order(df, row_id, seed, epoch, bucket_digits, partitions)
     return batch_columns(
         ordered, F.col("total"), batch_size, accumulation, max_steps
     ).drop("total")

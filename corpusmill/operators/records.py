@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +19,9 @@ from corpusmill.functions.strict_json import (
 from corpusmill.functions.text import CHUNK_SIZE, chunks, nonblank, strip
 from corpusmill.operators.steps import once
 
+# Watches a table by the column that says what became of each row, and gives it back.
+Observe = Callable[[DataFrame, str], DataFrame]
+
 
 def parse_json_strict(
     df: DataFrame, col: str = "value", out: str = "v", keep_malformed: bool = False
@@ -59,15 +64,42 @@ def line_reason(value: Column, v: Column) -> Column:
     )
 
 
+# Why a record gives nothing, in the order the reasons are looked at.
+REASONS = (
+    "kept", "blank_line", "malformed", "too_large", "too_deep", "not_object", "missing_text", "empty_text",
+    "non_string", "blank_text", "no_turns",
+)
+
+
+def chat_reason(value: Column | None, v: Column, messages: Column) -> Column:
+    """Why a raw line, or with no ``value`` an array element, gives no chat record."""
+    usable = F.when(messages.isNotNull(), "kept").when(kind(v) != "OBJECT", "not_object").otherwise("no_turns")
+    if value is None:
+        return usable
+    return (
+        F.when(~nonblank(value), "blank_line")
+        .when(v.isNull(), F.coalesce(beyond_limits(value), F.lit("malformed")))
+        .otherwise(usable)
+    )
+
+
+def prepared_counts(reason: Column) -> list[Column]:
+    """Aggregates that count records by reason, for an observation or an aggregation."""
+    counts = [F.count_if(reason == r).alias(r) for r in REASONS]
+    return [F.count(F.lit(1)).alias("read"), *counts]
+
+
 def valid_texts(lines: DataFrame, value: str = "value", out: str = "text") -> DataFrame:
     """Rows whose text is a non-blank string: the tokenizer's training input."""
     return line_texts(lines, value, out).filter(nonblank(F.col(out)))
 
 
-def line_texts(lines: DataFrame, value: str = "value", out: str = "text") -> DataFrame:
+def line_texts(lines: DataFrame, value: str = "value", out: str = "text", observe: Observe | None = None) -> DataFrame:
     """Rows with the record ``v`` and its non-empty text, of whatever length."""
     parsed = parse_json_strict(lines, value, keep_malformed=True)
     texts = once(parsed, out, record_text(F.col(value), F.col("v")))
+    if observe:
+        texts = observe(once(texts, "_reason", line_reason(F.col(value), F.col("v"))), "_reason").drop("_reason")
     return texts.filter(F.col(out).isNotNull())
 
 
@@ -81,10 +113,22 @@ def chunk_text(
 
 
 def to_chat(
-    df: DataFrame, v: str = "v", out: str = "messages", prompt: str = SYSTEM_PROMPT
+    df: DataFrame,
+    v: str = "v",
+    out: str = "messages",
+    prompt: str = SYSTEM_PROMPT,
+    observe: Observe | None = None,
+    value: str | None = None,
 ) -> DataFrame:
-    """Raw conversation records to chat records; rows without a usable turn are dropped."""
-    return once(df, out, chat_messages(F.col(v), prompt)).filter(F.col(out).isNotNull())
+    """Raw conversation records to chat records; rows without a usable turn are dropped.
+
+    ``value`` names the raw line of a record that may be malformed.
+    """
+    chats = once(df, out, chat_messages(F.col(v), prompt))
+    if observe:
+        reason = chat_reason(F.col(value) if value else None, F.col(v), F.col(out))
+        chats = observe(once(chats, "_reason", reason), "_reason").drop("_reason")
+    return chats.filter(F.col(out).isNotNull())
 
 
 def render_records(df: DataFrame, value: str = "value", out: str = "rendered") -> DataFrame:
@@ -93,14 +137,16 @@ def render_records(df: DataFrame, value: str = "value", out: str = "rendered") -
     return parsed.withColumn(out, render_any(F.col("_v"), strip(F.col(value)))).drop("_v")
 
 
-def prepare_lines(lines: DataFrame, kind: str) -> DataFrame:
+def prepare_lines(lines: DataFrame, kind: str, observe: Observe | None = None) -> DataFrame:
     """The same steps for a batch or a stream of raw lines with a ``value`` column.
 
-    ``pretrain`` gives ``(chunk_idx, text)``, ``chat`` gives ``(messages, rendered)``.
+    ``pretrain`` gives ``(chunk_idx, text)``, ``chat`` gives ``(messages, rendered)``. With
+    ``observe`` the lines are counted by what became of them, on their way.
     """
     if kind == "pretrain":
-        return chunk_text(line_texts(lines).select("text"))
+        return chunk_text(line_texts(lines, observe=observe).select("text"))
     if kind == "chat":
-        chats = to_chat(parse_json_strict(lines)).select("messages")
+        parsed = parse_json_strict(lines, keep_malformed=observe is not None)
+        chats = to_chat(parsed, observe=observe, value="value").select("messages")
         return chats.withColumn("rendered", render_chat(F.col("messages")))
     raise ValueError(f"unknown kind {kind!r}")

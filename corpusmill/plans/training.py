@@ -23,10 +23,11 @@ def pretrain_batches(
     max_steps: int | None = None,
     seed: int = EPOCH_SEED,
     epoch: int = 0,
+    bucket_digits: int | None = None,
 ) -> DataFrame:
     """Batched samples of ``(row_id, text)`` rows for one epoch."""
     ordered = epoch_batches(
-        texts, batch_size, accumulation, max_steps, row_id, seed, epoch
+        texts, batch_size, accumulation, max_steps, row_id, seed, epoch, bucket_digits=bucket_digits
     )
     return pretrain_samples(ordered, tok, max_length)
 
@@ -42,9 +43,10 @@ def sft_batches(
     max_steps: int | None = None,
     seed: int = EPOCH_SEED,
     epoch: int = 0,
+    bucket_digits: int | None = None,
 ) -> DataFrame:
     """Batched samples of ``(row_id, rendered)`` rows for one epoch."""
     ordered = epoch_batches(
-        rendered, batch_size, accumulation, max_steps, row_id, seed, epoch
+        rendered, batch_size, accumulation, max_steps, row_id, seed, epoch, bucket_digits=bucket_digits
     )
     return sft_samples(ordered, tok, max_length, mask)

@@ -10,6 +10,7 @@ from pyspark.sql.window import Window
 
 from corpusmill.functions.text import nonblank, strip
 from corpusmill.operators.ranks import block_offsets
+from corpusmill.sources.ranges import first_chars, reachable
 
 BLOCK = ["file", "block"]
 
@@ -95,37 +96,46 @@ def _layout(first_char: Column) -> Column:
     return F.when(first_char == "[", "array").otherwise("jsonl")
 
 
-def layouts(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """``(file, layout)`` of every file, an empty one included.
+def _input_files(spark: SparkSession, path: str | list[str]) -> list[str]:
+    """Files of an input, an empty one included; the driver lists them anyway."""
+    return [re.sub("^file:/+", "file:/", f) for f in spark.read.text(path).inputFiles()]
 
-    ``array`` when the first non-blank character is ``[``, else ``jsonl``.
-    """
-    first_char = F.substring(strip(F.col("value")), 1, 1)
-    place = F.struct("block", "seq")
+
+def _scanned_chars(spark: SparkSession, files: list[str]) -> DataFrame:
+    """``(file, first_char)`` by a scan, for stores that only Spark opens."""
+    char = F.substring(strip(F.col("value")), 1, 1)
     filled = nonblank(F.col("value"))
-    seen = (
-        read_lines(spark, path)
+    return (
+        read_lines(spark, files)
         .groupBy("file")
-        .agg(F.min_by(F.when(filled, first_char), F.when(filled, place)).alias("c"))
+        .agg(F.min_by(F.when(filled, char), F.when(filled, F.struct("block", "seq"))).alias("first_char"))
     )
-    # A scan has no row for an empty file; the driver lists the files of an input anyway.
-    names = [re.sub("^file:/+", "file:/", f) for f in spark.read.text(path).inputFiles()]
-    files = spark.createDataFrame([(name,) for name in names], "file string")
-    return files.join(seen, "file", "left").select("file", _layout(F.col("c")).alias("layout"))
 
 
-def files_of_layout(spark: SparkSession, path: str | list[str], layout: str) -> list[str]:
-    """Paths of the files of a layout; the driver lists the files of an input anyway."""
-    found = layouts(spark, path).filter(F.col("layout") == layout)
-    return [row.file for row in found.collect()]
+def layouts(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``(file, layout)`` of every file, an empty one included.
+
+    ``array`` when the first non-blank character is ``[``, else ``jsonl``. Of each file the first
+    bytes are read; a file is read on only as far as it is blank.
+    """
+    files = _input_files(spark, path)
+    if files and reachable(files[0]):
+        seen = first_chars(spark, files)
+    else:
+        names = spark.createDataFrame([(f,) for f in files], "file string")
+        seen = names.join(_scanned_chars(spark, files), "file", "left") if files else names.withColumn("first_char", F.lit(None))
+    return seen.select("file", _layout(F.col("first_char")).alias("layout"))
+
+
+def files_by_layout(spark: SparkSession, path: str | list[str]) -> dict[str, list[str]]:
+    """Paths of the files of each layout, from one look at their first bytes."""
+    found: dict[str, list[str]] = {"array": [], "jsonl": []}
+    for row in layouts(spark, path).collect():
+        found[row.layout].append(row.file)
+    return found
 
 
 def detect_layout(spark: SparkSession, path: str) -> str:
-    """Layout of one file; reads on only while the lines seen are blank."""
-    first_char = F.substring(strip(F.col("value")), 1, 1)
-    lines = read_lines(spark, path).filter(nonblank(F.col("value")))
-    # The first block of a file lies in one partition, in order.
-    head = lines.filter("block = 0").select(_layout(first_char).alias("layout")).take(1)
-    if not head:
-        head = lines.orderBy("block", "seq").select(_layout(first_char).alias("layout")).take(1)
-    return head[0]["layout"] if head else "jsonl"
+    """Layout of one file."""
+    found = [row.layout for row in layouts(spark, path).collect()]
+    return found[0] if found else "jsonl"

@@ -85,3 +85,34 @@ def test_epoch_plan_moves_rows_once(spark):
     plan = ranks.epoch_batches(rows, 10)._jdf.queryExecution().executedPlan().toString()
     carrying = [line for line in plan.splitlines() if "Exchange" in line and "rangepartitioning" in line]
     assert len(carrying) == 1
+
+
+@pytest.mark.parametrize("digits", [1, 2, 3, 5])
+def test_epoch_rank_does_not_depend_on_the_depth(spark, digits):
+    rows = spark.range(700).withColumnRenamed("id", "row_id")
+    got = {r.row_id: (r["rank"], r.total) for r in ranks.epoch_order(rows, bucket_digits=digits).collect()}
+    assert got == {i: (k, 700) for i, k in permutation(700, 0).items()}
+
+
+def test_epoch_depth_follows_the_rows():
+    assert [ranks.epoch_digits(n) for n in (0, 50_000, 800_000, 800_001, 10**9, 10**11, 10**13)] == [1, 1, 1, 2, 4, 5, 5]
+
+
+def test_epoch_depth_reaches_the_batches(spark):
+    rows = spark.range(50).withColumnRenamed("id", "row_id")
+    found = [sorted(map(tuple, ranks.epoch_batches(rows, 7, bucket_digits=d).collect())) for d in (1, 4)]
+    assert found[0] == found[1]
+
+
+def test_id_ranges_stay_even_with_an_outlier(spark):
+    """Dense ids and one far away, ids in two clusters, repeated and null ids."""
+    dense = spark.range(20_000).unionByName(spark.createDataFrame([(2**62,)], "id long"))
+    clusters = spark.range(5_000).unionByName(spark.range(10**15, 10**15 + 15_000))
+    for df in (dense, clusters):
+        sizes = [r.n for r in ranks.id_parts(df, "id", 1000).groupBy("_part").agg(F.sum("_n").alias("n")).collect()]
+        assert len(sizes) > 15 and max(sizes) < 2500
+        rows = sorted((r["rank"], r.id) for r in ranks.rank_by_id(df, "id", bucket_rows=1000).collect())
+        assert rows == list(enumerate(sorted(r.id for r in df.collect())))
+    repeated = spark.createDataFrame([(5,), (3,), (5,), (None,), (9,), (5,)], "id long")
+    rows = sorted((r["rank"], r.id) for r in ranks.rank_by_id(repeated, "id", bucket_rows=1).collect())
+    assert rows == [(0, 3), (1, 5), (2, 5), (3, 5), (4, 9)]

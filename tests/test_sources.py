@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusmill.operators.records import prepare_lines
-from corpusmill.plans.corpora import chat_records, prepare_all
+from corpusmill.plans.corpora import JobReport, chat_records, prepare_all
 from corpusmill.plans.tokenizer import train_tokenizer
 from corpusmill.sources.arrays import array_elements, read_json_array
 from corpusmill.sources.lines import (
@@ -18,7 +18,8 @@ from corpusmill.sources.lines import (
 )
 from corpusmill.sources.sinks import write_jsonl, write_samples
 from corpusmill.sources.tokenizer_store import load_tokenizer
-from corpusmill.streaming.prepare import stream_prepare
+from corpusmill.sources.ranges import first_chars, lookup_lines
+from corpusmill.streaming.prepare import stream_counts, stream_prepare
 
 
 def write(path, text):
@@ -92,6 +93,63 @@ def test_layout(small_splits, tmp_path, text, layout):
     assert found == [layout]
 
 
+def test_layouts_read_the_first_bytes_only(spark, tmp_path, monkeypatch):
+    texts = ["[" + "1," * 200_000 + "1]", "\n" * 10_000 + "{}\n" * 100_000, "\ufeff [1]", "", " \n"]
+    files = [write(tmp_path / f"f{k}", t) for k, t in enumerate(texts)]
+    rows = {r.file: r for r in first_chars(spark, files).collect()}
+    assert [rows[f].first_char for f in files] == ["[", "{", "[", None, None]
+    assert rows[files[0]].bytes_read == 4096 and rows[files[1]].bytes_read == 3 * 4096
+    import gzip
+
+    (tmp_path / "g.json.gz").write_bytes(gzip.compress(b" [1, 2]"))
+    assert detect_layout(spark, str(tmp_path / "g.json.gz")) == "array"
+    plan = layouts(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan" not in plan and "Scan text" not in plan
+    # A store that only Spark opens is scanned; the answers are the same.
+    by_head = sorted(map(tuple, layouts(spark, str(tmp_path)).collect()))
+    monkeypatch.setattr("corpusmill.sources.lines.reachable", lambda path: False)
+    assert sorted(map(tuple, layouts(spark, str(tmp_path)).collect())) == by_head
+
+
+def test_lookup_reads_the_asked_lines(small_splits, tmp_path):
+    spark = small_splits
+    lines = {f: [f"{f} {i} é{'x' * (i % 50)}" + "\r" * (i % 2) for i in range(3000)] for f in ("a", "b")}
+    for name, own in lines.items():
+        write(tmp_path / name, "\n".join(own))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    index = line_index(spark, str(tmp_path)).cache()
+    asked = spark.range(0, 3500, 7).select(F.col("id").alias("row_id"))
+    found = lookup_lines(index, asked.unionByName(asked))
+    got = sorted((r.file[-1], r.row_id, r.value) for r in found.collect())
+    assert got == sorted((f, i, own[i]) for f, own in lines.items() for i in range(0, 3000, 7))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    one = index.filter("file like '%/b' and row_id = 2999").select("file", "row_id")
+    assert [r.value for r in lookup_lines(index, one).collect()] == [lines["b"][2999]]
+    (tmp_path / "b").write_bytes(b"short")
+    with pytest.raises(Exception, match="ends before byte"):
+        lookup_lines(index, one).collect()
+
+
+def test_array_text_is_not_shuffled(spark, tmp_path):
+    """Only the pieces around the ends of splits are grouped."""
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "50000")
+    try:
+        values = [{"n": i, "t": "some, text [" * 5} for i in range(3000)]
+        path = write(tmp_path / "f", json.dumps(values))
+        rows = array_elements(spark, path)
+        assert [json.loads(r.value.strip("[] \n") if 0 < r.idx < 2999 else r.value.strip("[] \n"))["n"]
+                for r in sorted(rows.select("idx", "value").collect())] == list(range(3000))
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        moved = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+        # By split or file for the small table, and one for the pieces that cross.
+        assert sum("end_depth" in line and "idx" in line for line in moved) == 1
+        observed = rows.observe("pieces", F.count(F.lit(1)).alias("n"))
+        assert observed.count() == 3000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def array_values(spark, path):
     rows = read_json_array(spark, path).select("idx", F.to_json("v").alias("j")).collect()
     return [json.loads(r.j) for r in sorted(rows)]
@@ -174,13 +232,15 @@ def test_preparation_jobs(spark, tmp_path):
         chats = write(tmp_path / name, text)
         out = f"{tmp_path}/out-{name}"
         done = prepare_all(spark, raw, f"{out}/p", chats, f"{out}/c")
-        assert done == {"pretrain": True, "chat": True}
+        lost = {"blank_line": 1, "malformed": 1, "non_string": 1}
+        assert done["pretrain"] == JobReport(True, 6, 3, lost)
+        assert done["chat"] == JobReport(True, 3, 1, {"no_turns": 1, "not_object": 1})
         texts = [json.loads(r.value)["text"] for r in read_lines(spark, f"{out}/p").collect()]
         assert sorted(texts) == ["ab", "ab ab ab", "cd 你好"]
         (chat,) = [json.loads(r.value) for r in read_lines(spark, f"{out}/c").collect()]
         assert [m["role"] for m in chat] == ["system", "user", "assistant"]
     failed = prepare_all(spark, f"{tmp_path}/none", f"{tmp_path}/x", chats, f"{tmp_path}/y")
-    assert failed == {"pretrain": False, "chat": True}
+    assert failed["pretrain"] == JobReport(False) and failed["chat"].done
 
 
 def test_tokenizer_job(spark, tmp_path):
@@ -197,7 +257,12 @@ def test_stream_equals_batch(spark, tmp_path, kind, lines):
     (tmp_path / "in").mkdir()
     for k in range(2):
         write(tmp_path / "in" / f"{k}.txt", "\n".join(lines))
-        stream_prepare(spark, src, kind, out, mark).awaitTermination()
+        run = stream_prepare(spark, src, kind, out, mark)
+        run.awaitTermination()
+        counts = stream_counts(run)
+        assert counts["read"] == len(lines) and counts["written"] == (3 if kind == "pretrain" else 1)
+        assert counts["kept"] == (3 if kind == "pretrain" else 1)
+        assert sum(n for c, n in counts.items() if c not in ("read", "written")) == len(lines)
     got = sorted(map(str, spark.read.parquet(out).collect()))
     want = sorted(map(str, prepare_lines(spark.read.text(src), kind).collect()))
     assert got == want and got

@@ -14,7 +14,15 @@ from corpusmill.operators.training_samples import (
     sft_samples,
     supervised_tokens,
 )
+from corpusmill.operators.pair_index import PairIndex
 from corpusmill.operators.vocabulary import train_bpe, word_counts
+from corpusmill.sources.tokenizer_json import (
+    chat_template,
+    model_document,
+    read_tokenizer_files,
+    tokenizer_from,
+    write_tokenizer_files,
+)
 from corpusmill.sources.tokenizer_store import load_tokenizer, save_tokenizer
 
 
@@ -145,6 +153,84 @@ def test_save_and_load(spark, tok, tmp_path):
     assert load_tokenizer(spark, f"{tmp_path}/t") == tok
 
 
+@pytest.mark.parametrize("prefix_space", [False, True])
+def test_files_of_other_tools(spark, tmp_path, prefix_space):
+    tokenizers = pytest.importorskip("tokenizers")
+    texts = random_texts(11) + ["two  spaces", "<s>ﬁ</s>", "\x00é"]
+    words = word_counts(corpus(spark, texts), add_prefix_space=prefix_space)
+    tok = train_bpe(words, 290, add_prefix_space=prefix_space)
+    write_tokenizer_files(tok, f"{tmp_path}/ours")
+    assert read_tokenizer_files(f"{tmp_path}/ours") == tok
+    other = tokenizers.Tokenizer.from_file(f"{tmp_path}/ours/tokenizer.json")
+    ids = {r.text: r.ids for r in encode(corpus(spark, texts), tok).collect()}
+    assert ids == {t: other.encode(t).ids for t in texts}
+    assert all(other.decode(i) == decode_one(spark, tok, i) for i in ids.values())
+    # And the way back, from a file that the package has written.
+    (tmp_path / "theirs").mkdir()
+    theirs = package_tokenizer(texts, 290, prefix_space=prefix_space)
+    theirs.save(f"{tmp_path}/theirs/tokenizer.json")
+    assert read_tokenizer_files(f"{tmp_path}/theirs") == tok
+    roles = json.loads((tmp_path / "ours" / "special_tokens_map.json").read_text())
+    assert roles["additional_special_tokens"] == ["<s>", "</s>"] and roles["pad_token"] == "<|im_end|>"
+
+
+def decode_one(spark, tok, ids):
+    return decode(spark.createDataFrame([(ids,)], "ids array<int>"), tok, skip_special=True).first().decoded
+
+
+def test_the_chat_template_frames_like_render_chat(tok):
+    jinja2 = pytest.importorskip("jinja2")
+    chat = [{"role": r, "content": f"{r} says"} for r in ("system", "user", "tool", "assistant")]
+    shown = jinja2.Template(chat_template(tok)).render(messages=chat, add_generation_prompt=True)
+    framed = [f"<|im_start|>{m['role']}\n{m['content']}<|im_end|>\n" for m in chat if m["role"] != "tool"]
+    assert shown == "".join(framed) + "<|im_start|>assistant\n"
+
+
+@pytest.mark.parametrize(
+    "change",
+    [
+        {"normalizer": {"type": "NFC"}}, {"pre_tokenizer": {"type": "Whitespace"}}, {"decoder": None},
+        {"model": {"dropout": 0.1}}, {"model": {"type": "Unigram"}}, {"model": {"merges": ["a zz"]}},
+        {"model": {"merges": ["a b c"]}}, {"model": {"vocab": {"a": 0, "b": 2}}},
+        {"added_tokens": [{"id": 0, "content": "<unk>", "special": True, "lstrip": True}]},
+        {"added_tokens": [{"id": 7, "content": "<s>", "special": True}]},
+        {"post_processor": {"type": "TemplateProcessing"}},
+    ],
+)
+def test_files_that_ask_for_something_else_are_refused(tok, change):
+    document = model_document(tok)
+    for key, value in change.items():
+        document[key] = document[key] | value if key == "model" else value
+    with pytest.raises(ValueError, match="tokenizer file"):
+        tokenizer_from(document)
+
+
+def test_two_thousand_merges_equal_those_of_the_package(spark):
+    """Real words: the smallest documents, trained well beyond the byte pairs."""
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect()]
+    ours = train_bpe(word_counts(corpus(spark, texts).repartition(4)), 261 + 2000, refresh=50)
+    theirs = merges_of(package_tokenizer(texts, 261 + 2000))
+    assert len(theirs) >= 2000 and ours.merges == theirs
+
+
+def test_a_round_reads_the_entries_of_its_pairs(spark):
+    counts = {f"w{i:04}": 5 + i % 7 for i in range(2000)} | {"zqzq": 100_000}
+    index = PairIndex(words_table(spark, counts), list(range(256)), list(range(256)), 1000)
+    try:
+        z, q = ord("z"), ord("q")
+        assert index.best(1, 1)[0] == [(z, q, 200_000)]
+        index.merge([(z, q, 256)])
+        log = index._read(index.folder[-1])
+        assert {r.word for r in log.collect()} == {"zqzq"}
+        assert index.hot[(256, 256)] == 100_000 and (z, q) not in index.hot
+        before = len(index.folder)
+        index.merge([(256, 256, 257)], fold=True)
+        assert index.made == {256: [1], 257: [2]} and len(set(index.folder)) == 2 and len(index.folder) == before + 1
+        assert index.best(1, 1)[0][0][2] < 100_000
+    finally:
+        index.close()
+
+
 def test_samples(spark, tok):
     texts = ["ab", "the th " * 30, ""]
     rows = pretrain_samples(corpus(spark, texts).withColumn("k", F.col("text")), tok, 16).collect()
