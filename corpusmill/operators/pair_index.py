@@ -126,27 +126,46 @@ class PairIndex:
         top = heapq.nsmallest(most, found)
         return [(left, right, -n) for n, left, right in top], len(top) == len(found) and self.floor < least
 
-    def merge(self, batch: list[Merge], fold: bool = False) -> None:
-        """Apply merges to the words that hold their pairs."""
+    def _touched(self, pairs: list[tuple[int, int]]) -> DataFrame:
+        """``(word, freq)`` of the words that hold one of the pairs."""
         paths = {
             self.folder[k]
-            for left, right, _ in batch
-            for born in [(self.made.get(left, [0]), self.made.get(right, [0]))]
+            for born in [(self.made.get(left, [0]), self.made.get(right, [0])) for left, right in pairs]
             for k in {*born[0], *born[1]}
             if k >= max(born[0][0], born[1][0])
         }
         left, right = F.col("left"), F.col("right")
         asked = (
-            left.isin(*{m[0] for m in batch})
-            & right.isin(*{m[1] for m in batch})
-            & F.array_contains(F.lit([m[0] << 32 | m[1] for m in batch]), left.cast("long") * (1 << 32) + right)
+            left.isin(*{p[0] for p in pairs})
+            & right.isin(*{p[1] for p in pairs})
+            & F.array_contains(F.lit([p[0] << 32 | p[1] for p in pairs]), left.cast("long") * (1 << 32) + right)
         )
         held = self._read(*sorted(paths)).filter(asked & (F.col("times") > 0))
-        touched = held.groupBy("word").agg(F.first("freq").alias("freq"))
+        return held.groupBy("word").agg(F.first("freq").alias("freq"))
+
+    def look_ahead(self, ranked: list[tuple[int, int, int]], bound: tuple[int, int, int] | None, first_new: int):
+        """Merges that follow each other, as :class:`Following` finds them in the pairs' words."""
+        words = self._touched([(left, right) for left, right, _ in ranked]).collect()
+        ids, owner = self._merger().run([r.word.encode() for r in words])
+        return Following(ids, owner, [r.freq for r in words], ranked, bound, first_new)
+
+    def merge(self, batch: list[Merge], fold: bool = False) -> None:
+        """Apply merges, one after the other, to the words that hold their pairs.
+
+        A pair with a token of the same batch is in words that an earlier merge has touched.
+        """
+        fresh: set[int] = set()
+        there = []
+        for left, right, merged in batch:
+            if not {left, right} & fresh:
+                there.append((left, right))
+            if merged not in self.made and merged not in fresh:
+                fresh.add(merged)
+        touched = self._touched(there)
         before = self._merger()
         self.merges += batch
         path = self._write(touched.mapInArrow(_changes(before, self._merger()), ENTRY))
-        for _, _, merged in batch:
+        for merged in {m for _, _, m in batch}:
             self.made.setdefault(merged, []).append(len(self.folder) - 1)
         if fold:
             self.fold()
@@ -188,3 +207,68 @@ class PairIndex:
 
     def close(self) -> None:
         drop_path(self.spark, self.run)
+
+
+class Following:
+    """The next merges, from all words that hold the best pairs.
+
+    Those words have all occurrences of the best pairs and of the pairs that merging them makes.
+    Any other pair has a count of ``bound`` at most, and only loses. So the next merge is known
+    as long as the best of the known pairs comes before ``bound``, ``(-n, left, right)``.
+    """
+
+    def __init__(self, ids: np.ndarray, owner: np.ndarray, freqs: list[int], ranked, bound, first_new: int):
+        edges = np.searchsorted(owner, np.arange(len(freqs) + 1))
+        flat = ids.tolist()
+        self.words = [flat[a:b] for a, b in zip(edges, edges[1:])]
+        self.freqs, self.bound, self.first_new = freqs, bound, first_new
+        self.counts = {(left, right): n for left, right, n in ranked}
+        self.where: dict[tuple[int, int], set[int]] = {pair: set() for pair in self.counts}
+        for i, word in enumerate(self.words):
+            for pair in zip(word, word[1:]):
+                if pair in self.where:
+                    self.where[pair].add(i)
+        self.queue = [(-n, *pair) for pair, n in self.counts.items()]
+        heapq.heapify(self.queue)
+
+    def best(self, least: int) -> tuple[int, int] | None:
+        """The pair to be merged next, or None where that is not known or there is none."""
+        while self.queue:
+            n, *pair = self.queue[0]
+            pair = tuple(pair)
+            if self.counts.get(pair) != -n:
+                heapq.heappop(self.queue)
+                if self.counts.get(pair, 0) > 0 and -self.counts[pair] > n:
+                    heapq.heappush(self.queue, (-self.counts[pair], *pair))
+                continue
+            known = self.bound is None or self.queue[0] < self.bound
+            return pair if known and -n >= least else None
+        return None
+
+    def merge(self, pair: tuple[int, int], merged: int) -> None:
+        left, right = pair
+        for i in sorted(self.where[pair]):
+            word, freq, new, k = self.words[i], self.freqs[i], [], 0
+            while k < len(word):
+                if word[k] == left and k + 1 < len(word) and word[k + 1] == right:
+                    new.append(merged)
+                    k += 2
+                else:
+                    new.append(word[k])
+                    k += 1
+            if len(new) == len(word):
+                continue
+            self.words[i] = new
+            for one in zip(word, word[1:]):
+                if one in self.counts:
+                    self.counts[one] -= freq
+            for one in zip(new, new[1:]):
+                # Pairs with a token made here occur in these words alone.
+                if one not in self.counts and max(one) >= self.first_new:
+                    self.counts[one], self.where[one] = 0, set()
+                if one in self.counts:
+                    self.counts[one] += freq
+                    self.where[one].add(i)
+            for one in {*zip(new, new[1:])}:
+                if one in self.counts and max(one) >= self.first_new:
+                    heapq.heappush(self.queue, (-self.counts[one], *one))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +23,9 @@ MIN_FREQUENCY = 2
 TOP_PAIRS = 256
 HOT_PAIRS = 20_000
 REFRESH_ROUNDS = 64
+# Words that come to the driver for a round at most, and pairs that are looked for in them.
+LOOK_WORDS = 50_000
+LOOK_PAIRS = 2048
 
 
 def word_counts(
@@ -98,6 +102,7 @@ def train_bpe(
     refresh: int = REFRESH_ROUNDS,
     top_pairs: int = TOP_PAIRS,
     hot_pairs: int = HOT_PAIRS,
+    look_words: int = LOOK_WORDS,
 ) -> Tokenizer:
     """Learn merges from ``(word, freq)`` until ``vocab_size`` or ``min_frequency`` stops it.
 
@@ -106,6 +111,10 @@ def train_bpe(
     provably next in line: the words that hold them are found in an index, give up their old
     pairs and get their new ones, and the changes of counts come back. What reaches the driver
     is bounded by the vocabulary: of a round, the pairs that have a token of its merges.
+
+    Where the best pairs are rare enough to lie in ``look_words`` words at most, those words come
+    to the driver and tell many merges in a row; the tasks apply them as any others. This
+    changes the number of rounds and not the merges.
     """
     tokens = [*specials, *sorted(SYMBOLS)]
     if continuing_prefix:
@@ -119,23 +128,43 @@ def train_bpe(
     )
     merges: list[tuple[str, str]] = []
     least = max(min_frequency, 1)
+
+    def add(left: int, right: int) -> tuple[int, bool]:
+        """Id of the merged token, and whether it was there before."""
+        pair = tokens[left], tokens[right]
+        token = pair[0] + pair[1][len(continuing_prefix) :]
+        merges.append(pair)
+        known = token in ids
+        if not known:
+            ids[token] = len(tokens)
+            tokens.append(token)
+        return ids[token], known
+
     while len(tokens) < vocab_size:
-        ranked, complete = index.best(top_pairs, least)
+        ranked, complete = index.best(max(top_pairs, LOOK_PAIRS), least)
         if not ranked:
             break
-        batch, known = [], True
-        for left, right, _ in ranked[: independent_prefix(ranked, complete)]:
-            pair = tokens[left], tokens[right]
-            token = pair[0] + pair[1][len(continuing_prefix) :]
-            merges.append(pair)
-            known = token in ids
-            if not known:
-                ids[token] = len(tokens)
-                tokens.append(token)
-            batch.append((left, right, ids[token]))
-            # A token made a second time adds to the pairs it is already part of.
-            if known or len(tokens) >= vocab_size:
-                break
+        first = ranked[:top_pairs]
+        sure = first[: independent_prefix(first, complete and len(ranked) <= top_pairs)]
+        # A pair is in as many words as its count at most.
+        look = sum(n <= look_words for n in accumulate(n for *_, n in ranked))
+        if look == len(ranked) and not complete:
+            look -= 1
+        batch, known = [], False
+        if look > 2 * len(sure) + 16:
+            left, right, n = ranked[look] if look < len(ranked) else (0, 0, 0)
+            following = index.look_ahead(ranked[:look], (-n, left, right) if n else None, len(tokens))
+            while len(tokens) < vocab_size and not known and (pair := following.best(least)):
+                merged, known = add(*pair)
+                batch.append((*pair, merged))
+                following.merge(pair, merged)
+        else:
+            for left, right, _ in sure:
+                merged, known = add(left, right)
+                batch.append((left, right, merged))
+                # A token made a second time adds to the pairs it is already part of.
+                if known or len(tokens) >= vocab_size:
+                    break
         if len(tokens) < vocab_size:
             index.merge(batch, fold=known or index.rounds_to_fold >= refresh)
     index.close()

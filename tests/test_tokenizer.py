@@ -58,11 +58,14 @@ def random_texts(seed, n=60):
     ]
 
 
-@pytest.mark.parametrize("seed, refresh, top, hot", [(1, 48, 256, 9999), (2, 1, 256, 9999), (3, 5, 3, 9999), (4, 5, 9, 7)])
-def test_training_and_coding_agree_with_the_tokenizers_package(spark, seed, refresh, top, hot):
+@pytest.mark.parametrize(
+    "seed, refresh, top, hot, look",
+    [(1, 48, 256, 9999, 0), (2, 1, 256, 9999, 0), (3, 5, 3, 9999, 0), (4, 5, 9, 7, 0), (5, 48, 256, 9999, 50_000), (6, 2, 9, 30, 900)],
+)
+def test_training_and_coding_agree_with_the_tokenizers_package(spark, seed, refresh, top, hot, look):
     texts = random_texts(seed)
     words = word_counts(corpus(spark, texts))
-    ours = train_bpe(words, 261 + 40, refresh=refresh, top_pairs=top, hot_pairs=hot)
+    ours = train_bpe(words, 261 + 40, refresh=refresh, top_pairs=top, hot_pairs=hot, look_words=look)
     theirs = package_tokenizer(texts, 261 + 40)
     assert ours.merges == merges_of(theirs)
     assert dict(ours.ids) == theirs.get_vocab()
