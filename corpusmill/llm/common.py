@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.session import drop_path, scratch_path
@@ -48,10 +48,31 @@ def dropped(df: DataFrame, path: str) -> None:
     drop_path(df.sparkSession, path)
 
 
+class Scratch:
+    """Tables written on the way to a result; they go together at the end, after an error too."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def keep(self, df: DataFrame, label: str) -> DataFrame:
+        path = scratch_path(self.spark, label)
+        self.paths.append(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *error) -> None:
+        for path in self.paths:
+            drop_path(self.spark, path)
+
+
 class WordIds(dict):
     """64-bit hashes of words, each made once while it is remembered."""
 
-    def __init__(self, most: int = 200_000):
+    def __init__(self, most: int = 100_000):
         super().__init__()
         self.most = most
 

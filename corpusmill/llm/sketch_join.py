@@ -34,25 +34,17 @@ from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import byte_texts, dropped, kept, slices, whole_text
+from corpusmill.llm.common import Scratch, WordIds, byte_texts, dropped, kept, slices, whole_text
 
 BLOCK = 1024
-WORD_MEMO = 400_000
+# Sets a task remembers having met, so as to write their pieces once.
+MET = 100_000
 _STEP, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
-class _Words(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= WORD_MEMO:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word)
-        return value
-
-
 def _mixed(keys: np.ndarray) -> np.ndarray:
     keys = keys ^ (keys >> np.uint64(32))
     keys = keys * _MIX
@@ -140,59 +132,45 @@ def _node(keys: np.ndarray) -> int:
     return int(_mixed(both).view(np.int64)[0])
 
 
+def _buckets(keys: np.ndarray, near: Similarity) -> np.ndarray:
+    """Names of a set's buckets, from band, number and word of each piece."""
+    names = []
+    for band in near.bands(len(keys)):
+        number, words = pieces(keys, *near.pieces(band))
+        label = number.astype(np.uint64) << np.uint64(8) | np.uint64(band)
+        names.append(_mixed(_mixed(words + _STEP) + label))
+    return np.concatenate(names).view(np.int64)
+
+
 def _set_rows(near: Similarity):
+    """A row per document; a set that has bands gives its sketch and its buckets."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, met = _Words(), set()
+        memo, met = WordIds(), set()
         for batch in slices(batches, 1000):
-            out = []
+            out, buckets = [], []
             for text in byte_texts(batch):
                 keys = shingles(text, near.words, memo)
                 node = _node(keys) if len(keys) else 0
-                # The sketch of a set is needed once; equal sets are common in one task.
+                # Sketch and buckets of a set are needed once; equal sets are common in one task.
                 fresh = node not in met and near.bands(len(keys))
                 out.append((len(keys), node, sketch(keys).tobytes() if fresh else None))
+                buckets.append(_buckets(keys, near) if fresh else np.empty(0, np.int64))
                 met.add(node)
-            if len(met) > 1_000_000:
+            if len(met) > MET:
                 met.clear()
             kinds = [pa.int64(), pa.int64(), pa.binary()]
             columns = [pa.array(c, k) for c, k in zip(zip(*out), kinds)]
+            ends = np.cumsum([0, *map(len, buckets)]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(buckets)))
             yield pa.record_batch(
-                [batch.column("doc_id"), batch.column("text_hash"), *columns],
-                ["doc_id", "text_hash", "n", "node", "sketch"],
+                [batch.column("doc_id"), batch.column("text_hash"), *columns, lists],
+                ["doc_id", "text_hash", "n", "node", "sketch", "buckets"],
             )
 
     return run
 
 
-def _piece_rows(near: Similarity):
-    """A row per piece: its bucket, from band, number and word, and the node."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, met = _Words(), set()
-        for batch in slices(batches, 1000):
-            names, nodes = [], []
-            for text in byte_texts(batch):
-                keys = shingles(text, near.words, memo)
-                bands = near.bands(len(keys))
-                if not bands or (node := _node(keys)) in met:
-                    continue
-                met.add(node)
-                for band in bands:
-                    number, words = pieces(keys, *near.pieces(band))
-                    label = number.astype(np.uint64) << np.uint64(8) | np.uint64(band)
-                    names.append(_mixed(_mixed(words + _STEP) + label))
-                    nodes.append(np.full(len(number), node))
-            if len(met) > 1_000_000:
-                met.clear()
-            if names:
-                yield pa.record_batch(
-                    [pa.array(np.concatenate(names).view(np.int64)), pa.array(np.concatenate(nodes))],
-                    ["key", "node"],
-                )
-
-    return run
-
-
 def _passing(sketches: np.ndarray, sizes: np.ndarray, near: Similarity) -> np.ndarray:
     """Hamming distances of pairs that may be similar; the others have the greatest value."""
     n = len(sizes)
@@ -309,7 +287,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, near: Similarity) -> DataFrame
     """Add ``linked`` to distinct pairs ``(a, b)``: whether their sets are similar."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = _Words()
+        memo = WordIds()
         for batch in slices(batches, 500):
             left, right = byte_texts(batch, "text_a"), byte_texts(batch, "text_b")
             linked, seen, keys = [], None, None
@@ -331,10 +309,11 @@ def _verified(pairs: DataFrame, texts: DataFrame, near: Similarity) -> DataFrame
     )
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     """``(node, root)`` for every node of the edges ``(a, b)``: the least node reachable.
 
-    Large-star and small-star steps in turn, until the edges stay the same.
+    Large-star and small-star steps in turn, until the edges stay the same. The table that the
+    result is read from goes with ``scratch``.
     """
     current, path = kept(
         edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
@@ -363,27 +342,37 @@ def components(edges: DataFrame) -> DataFrame:
         if fresh == sign:
             break
         sign = fresh
+    if scratch:
+        scratch.paths.append(path)
     roots = current.select("b").distinct().select(F.col("b").alias("node"), F.col("b").alias("root"))
     return current.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(roots)
 
 
-def linked_nodes(docs: DataFrame, near: Similarity, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
+def linked_nodes(
+    docs: DataFrame, near: Similarity, scratch: Scratch, block: int = BLOCK
+) -> tuple[DataFrame, DataFrame]:
     """Rows ``(doc_id, text_hash, n, node)`` of all documents, and links ``(a, b)`` of nodes.
 
-    The links connect all nodes that are connected by similarity.
+    The links connect all nodes that are connected by similarity. Both are read from tables of
+    ``scratch``.
     """
     texts = docs.select("doc_id", whole_text().alias("text")).withColumn("text_hash", F.xxhash64("text"))
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {id_type}, text_hash long, n long, node long, sketch binary"
-    sets, _ = kept(texts.mapInArrow(_set_rows(near), schema), "sets")
-    nodes, _ = kept(sets.filter("sketch is not null").dropDuplicates(["node"]), "nodes")
-    dealt = texts.mapInArrow(_piece_rows(near), "key long, node long")
+    schema = f"doc_id {id_type}, text_hash long, n long, node long, sketch binary, buckets array<long>"
+    whole, whole_path = kept(texts.mapInArrow(_set_rows(near), schema), "sets")
+    scratch.paths.append(whole_path)
+    sets = scratch.keep(whole.drop("sketch", "buckets"), "set-names")
+    fresh = whole.filter("sketch is not null")
+    nodes = scratch.keep(fresh.drop("buckets").dropDuplicates(["node"]), "nodes")
     # A set met by several tasks has its rows several times.
-    met = dealt.selectExpr(
+    met = fresh.select(F.explode("buckets").alias("key"), "node").selectExpr(
         "*", "min(node) over (partition by key) as low", "max(node) over (partition by key) as high"
-    ).filter("low < high")
-    sizes = met.select("key", "node").distinct().selectExpr("*", "count(*) over (partition by key) as size")
-    shared, _ = kept(sizes, "buckets")
+    )
+    members = scratch.keep(met.filter("low < high").select("key", "node").distinct(), "members")
+    dropped(docs, whole_path)
+    # Counted with partial counts and written first, so that the join can split a hot bucket.
+    sizes = scratch.keep(members.groupBy("key").agg(F.count("*").alias("size")), "bucket-sizes")
+    shared = scratch.keep(members.join(sizes, "key"), "buckets")
 
     two = shared.filter("size = 2").groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("b"))
     blocks = F.ceil(F.col("size") / block).cast("int")
@@ -394,22 +383,22 @@ def linked_nodes(docs: DataFrame, near: Similarity, block: int = BLOCK) -> tuple
         lambda k: F.struct(F.least(k, own).alias("i"), F.greatest(k, own).alias("j")),
     )
     meets = F.filter(meets, lambda m: (blocks == 1) | (m["i"] != m["j"]))
-    many, _ = kept(
+    many = scratch.keep(
         shared.filter("size > 2")
         .select("key", "node", F.inline(meets))
         .join(nodes.select("node", "n", "sketch"), "node"),
         "compared",
     )
-    forest, _ = kept(_compared(many, near, again=False), "forest")
+    forest = scratch.keep(_compared(many, near, again=False), "forest")
     found = two.select("a", "b").unionByName(forest.select("a", "b")).distinct()
     active = found.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     wanted = nodes.select("node", F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
     wanted = wanted.join(active, "node", "left_semi")
     same = texts["doc_id"].eqNullSafe(wanted["_id"]) & (texts["text_hash"] == wanted["_hash"])
-    active_texts, _ = kept(
+    active_texts = scratch.keep(
         texts.join(wanted, same).select("node", "text").dropDuplicates(["node"]), "active-texts"
     )
-    first, _ = kept(_verified(found, active_texts, near), "verified")
+    first = scratch.keep(_verified(found, active_texts, near), "verified")
 
     bucket = ["key", "i", "j"]
     tried = forest.join(first, ["a", "b"])
@@ -423,32 +412,38 @@ def linked_nodes(docs: DataFrame, near: Similarity, block: int = BLOCK) -> tuple
     )
     # Written first: a union of two inputs that are dealt by bucket already is not dealt anew,
     # although their parts need not meet in one task.
-    opened, _ = kept(members.unionByName(known), "opened")
+    opened = scratch.keep(members.unionByName(known), "opened")
     more = _compared(opened, near, again=True).select("a", "b").distinct()
     more = more.join(first, ["a", "b"], "left_anti")
-    second, _ = kept(_verified(more, active_texts, near), "verified-again")
+    second = scratch.keep(_verified(more, active_texts, near), "verified-again")
     links = first.unionByName(second).filter("linked").select("a", "b")
     return sets.select("doc_id", "text_hash", "n", "node"), links
 
 
-def _placed(docs: DataFrame, near: Similarity, block: int) -> DataFrame:
+def _placed(docs: DataFrame, near: Similarity, block: int, scratch: Scratch) -> DataFrame:
     """``(doc_id, text_hash, n, node, root)``; the root is the component's name."""
-    rows, links = linked_nodes(docs, near, block)
-    return rows.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rows, links = linked_nodes(docs, near, scratch, block)
+    found = rows.join(components(links, scratch), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    return scratch.keep(found, "placed")
 
 
 def similar_components(docs: DataFrame, near: Similarity | None = None, block: int = BLOCK) -> DataFrame:
-    """``(doc_id, text_hash, n_shingles, component_id)``: the smallest id of the component."""
-    placed = _placed(docs, near or Similarity(), block)
-    # An empty set is linked with nothing, not even with another.
-    linked, alone = placed.filter("n > 0"), placed.filter("n = 0")
-    least = linked.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    columns = ["doc_id", "text_hash", F.col("n").alias("n_shingles"), "component_id"]
-    return (
-        linked.join(least, "root")
-        .select(*columns)
-        .unionByName(alone.withColumn("component_id", F.col("doc_id")).select(*columns))
-    )
+    """``(doc_id, text_hash, n_shingles, component_id)``: the smallest id of the component.
+
+    Read from the one table that stays in the shared folder.
+    """
+    with Scratch(docs.sparkSession) as scratch:
+        placed = _placed(docs, near or Similarity(), block, scratch)
+        # An empty set is linked with nothing, not even with another.
+        linked, alone = placed.filter("n > 0"), placed.filter("n = 0")
+        least = linked.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+        columns = ["doc_id", "text_hash", F.col("n").alias("n_shingles"), "component_id"]
+        found = (
+            linked.join(least, "root")
+            .select(*columns)
+            .unionByName(alone.withColumn("component_id", F.col("doc_id")).select(*columns))
+        )
+        return kept(found, "components")[0]
 
 
 def one_of_each(docs: DataFrame, near: Similarity | None = None, block: int = BLOCK) -> DataFrame:
@@ -456,12 +451,13 @@ def one_of_each(docs: DataFrame, near: Similarity | None = None, block: int = BL
 
     Of repeated rows one stays. Documents with empty sets stay.
     """
-    placed = _placed(docs, near or Similarity(), block)
-    equal = placed.filter("n > 0").groupBy("root", "doc_id", "text_hash").agg(F.count("*").alias("rows"))
-    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "rows")
-    first = equal.groupBy("root").agg(F.min(order).alias("first")).select("first.*")
-    empty = placed.filter("n = 0").groupBy("doc_id", "text_hash").agg(F.lit(1).cast("long").alias("rows"))
-    chosen, _ = kept(first.drop("no_id").unionByName(empty), "chosen")
+    with Scratch(docs.sparkSession) as scratch:
+        placed = _placed(docs, near or Similarity(), block, scratch)
+        equal = placed.filter("n > 0").groupBy("root", "doc_id", "text_hash").agg(F.count("*").alias("rows"))
+        order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "rows")
+        first = equal.groupBy("root").agg(F.min(order).alias("first")).select("first.*")
+        empty = placed.filter("n = 0").groupBy("doc_id", "text_hash").agg(F.lit(1).cast("long").alias("rows"))
+        chosen, _ = kept(first.drop("no_id").unionByName(empty), "chosen")
     chosen = chosen.withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash", "rows": "_rows"})
     same = docs["doc_id"].eqNullSafe(chosen["_id"]) & (
         F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == chosen["_hash"]
