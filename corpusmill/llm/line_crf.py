@@ -2,8 +2,12 @@
 
 A linear-chain model with two states, content and boilerplate, reads the lines of a document.
 It is trained here by gradient steps on its log-likelihood over at most ``max_rows`` labelled
-documents (those of smallest id hash), whose lines take the document's quality label. Viterbi
-decoding marks every line; a document stays if content lines hold at least half of its words.
+documents (those of smallest id hash). All lines of a bad document are boilerplate, and so are
+lines of a good one that it has had before. With ``common``, so are also lines that stand behind
+that many different lines in the whole corpus: a licence line does, while the lines of a copied
+text stand behind the same line in every copy. This is left out unless asked for: it teaches
+something only where shared lines look different from others. Viterbi decoding marks every
+line; a document stays if content lines hold at least half of its words.
 
 Defined cases: a null or empty text has no words and fails the base rules; lines without a word
 are no part of the chain; a tie in decoding goes to content; repeated rows give a row each;
@@ -18,11 +22,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusmill.llm.common import byte_texts, slices
+from corpusmill.llm.common import Scratch, byte_texts, slices, whole_text
 
 # Fixed values of the base rules.
 SYMBOLS = b"#*$%&|<>"
@@ -162,19 +167,26 @@ def _log_add(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def train(
-    chains: list[np.ndarray], labels: np.ndarray, rounds: int = 200, rate: float = 0.1, decay: float = 1e-3
+    chains: list[np.ndarray],
+    labels: list[np.ndarray] | np.ndarray,
+    rounds: int = 200,
+    rate: float = 0.1,
+    decay: float = 1e-3,
 ) -> LineModel:
     """Maximum likelihood by Adam steps; ``chains`` hold a 0/1 feature row per line.
 
-    All chains run together: sorted by length, step t works on those with more than t lines.
+    ``labels`` has the states of the lines of each chain, or one state for all of them. All chains
+    run together: sorted by length, step t works on those with more than t lines.
     """
-    if len(set(labels.tolist())) < 2:
+    states = [np.broadcast_to(y, len(c)) for c, y in zip(chains, labels)]
+    if len({int(y) for own in states for y in own}) < 2:
         return EVEN
     order = sorted(range(len(chains)), key=lambda i: -len(chains[i]))
-    chains, truth = [chains[i] for i in order], labels[order]
+    chains, states = [chains[i] for i in order], [states[i] for i in order]
     length = np.array([len(c) for c in chains])
     active = [int((length > t).sum()) for t in range(length[0])]
     rows = [np.stack([c[t] for c in chains[:n]]) for t, n in enumerate(active)]
+    truth = [np.array([y[t] for y in states[:n]]) for t, n in enumerate(active)]
     params = np.zeros(N_FEATURES + 6)
     first, second = np.zeros_like(params), np.zeros_like(params)
     for k in range(1, rounds + 1):
@@ -200,16 +212,16 @@ def train(
                 s = scores[t + 1]
                 out = np.stack([beta[0], beta[1] + s])
                 a = alpha[t][:, :later]
-                y = truth[:later]
+                y, z = truth[t][:later], truth[t + 1]
                 for i in range(2):
                     for j in range(2):
                         p = np.exp(a[i] + move[i, j] + out[j] - total[:later])
-                        grad_move[i, j] += ((y == i) & (y == j)).sum() - p.sum()
+                        grad_move[i, j] += ((y == i) & (z == j)).sum() - p.sum()
                     back[i, :later] = _log_add(move[i, 0] + out[0], move[i, 1] + out[1])
             high = np.exp(alpha[t][1] + back[1] - total[:n])
-            grad_emit += rows[t].T @ (truth[:n] - high)
+            grad_emit += rows[t].T @ (truth[t] - high)
             if t == 0:
-                grad_start += [(truth == 0).sum() - (1 - high).sum(), truth.sum() - high.sum()]
+                grad_start += [(truth[0] == 0).sum() - (1 - high).sum(), truth[0].sum() - high.sum()]
             beta = back
         grad = np.concatenate([grad_emit, grad_move.ravel(), grad_start]) / len(chains) - decay * params
         first, second = 0.9 * first + 0.1 * grad, 0.99 * second + 0.01 * grad**2
@@ -218,14 +230,45 @@ def train(
 
 
 def _chain_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Features of each line with a word, its hash, and whether the text has had it before."""
+    kinds = [pa.list_(pa.list_(pa.int32())), pa.list_(pa.int64()), pa.list_(pa.bool_())]
     for batch in slices(batches, 1000):
-        found = [[f for f, _ in read(t)[1]] for t in byte_texts(batch)]
-        yield pa.record_batch(
-            [batch.column("label"), pa.array(found, pa.list_(pa.list_(pa.int32())))], ["label", "lines"]
-        )
+        found = []
+        for text in byte_texts(batch):
+            own = [line for line in text.split(b"\n") if line.split()]
+            # The hash of Spark's xxhash64.
+            hashes = [xxhash.xxh64_intdigest(line, seed=42) for line in own]
+            hashes = [h - (1 << 64) if h >> 63 else h for h in hashes]
+            first: dict[int, int] = {}
+            again = [first.setdefault(h, k) < k for k, h in enumerate(hashes)]
+            found.append(([f for f, _ in read(text)[1]], hashes, again))
+        columns = [pa.array(c, k) for c, k in zip(zip(*found), kinds)]
+        yield pa.record_batch([batch.column("label"), *columns], ["label", "lines", "hashes", "again"])
+
+
+def common_lines(docs: DataFrame, hashes: DataFrame, least: int) -> DataFrame:
+    """Those ``hash`` values whose lines stand behind ``least`` or more different lines of ``docs``."""
+    lines = F.split(F.concat(F.lit("\n"), whole_text()), "\n")
+    pairs = F.transform(
+        F.sequence(F.lit(1), F.size("lines") - 1),
+        lambda i: F.struct(F.xxhash64(F.get("lines", i)).alias("hash"), F.xxhash64(F.get("lines", i - 1)).alias("behind")),
+    )
+    every = docs.select(lines.alias("lines")).select(F.inline(pairs))
+    known = every.join(hashes.select("hash").distinct(), "hash", "left_semi").distinct()
+    return known.groupBy("hash").agg(F.count("*").alias("n")).filter(F.col("n") >= least).select("hash")
+
 
+def fit(
+    docs: DataFrame,
+    labels: DataFrame,
+    label: str = "quality",
+    max_rows: int = MAX_TRAIN_ROWS,
+    common: int | None = None,
+) -> LineModel:
+    """Fit on labelled documents; ``labels`` has ``doc_id`` and the 0/1 column ``label``.
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows: int = MAX_TRAIN_ROWS) -> LineModel:
+    With ``common`` their lines are counted over all of ``docs``.
+    """
     chosen = (
         labels.filter(F.col(label).isin(0, 1))
         .select("doc_id", F.col(label).cast("int").alias("label"))
@@ -233,15 +276,24 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows: in
         .limit(max_rows)
     )
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").drop("doc_id")
-    found = texts.mapInArrow(_chain_rows, "label int, lines array<array<int>>").limit(max_rows).collect()
-    rows = sorted((tuple(map(tuple, r.lines)), r.label) for r in found if r.lines)
-    chains = []
-    for lines, _ in rows:
-        chain = np.zeros((len(lines), N_FEATURES))
-        for t, on in enumerate(lines):
+    schema = "label int, lines array<array<int>>, hashes array<long>, again array<boolean>"
+    # Repeated ids make more rows than labels: of those too the ones of smallest hash are taken.
+    chains = texts.mapInArrow(_chain_rows, schema).orderBy(F.xxhash64("hashes"), "label").limit(max_rows)
+    with Scratch(docs.sparkSession) as scratch:
+        chains = scratch.keep(chains, "line-chains")
+        found = chains.filter("size(lines) > 0").collect()
+        hashes = chains.filter("label = 1").select(F.explode("hashes").alias("hash"))
+        shared = {r.hash for r in common_lines(docs, hashes, common).collect()} if found and common else set()
+    found = sorted(found, key=lambda r: (r.hashes, r.label))
+    rows, states = [], []
+    for r in found:
+        chain = np.zeros((len(r.lines), N_FEATURES))
+        for t, on in enumerate(r.lines):
             chain[t, list(on)] = 1
-        chains.append(chain)
-    return train(chains, np.array([y for _, y in rows])) if rows else EVEN
+        rows.append(chain)
+        content = [r.label == 1 and not again and h not in shared for h, again in zip(r.hashes, r.again)]
+        states.append(np.array(content, np.int64))
+    return train(rows, states) if len({r.label for r in found}) > 1 else EVEN
 
 
 def judge(text: bytes, model: LineModel) -> tuple:

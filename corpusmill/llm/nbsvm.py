@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusmill.llm.common import byte_texts, slices
+from corpusmill.llm.token_ids import release_encoders
 
 BITS = 18
 MAX_TRAIN_ROWS = 8_000
@@ -214,6 +215,7 @@ def scored(docs: DataFrame, model: NbSvm) -> DataFrame:
     names = schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_encoders()
         memo = _Words()
         for batch in slices(batches, 1000):
             found = [model.score(model.margin(features(t, memo))) for t in byte_texts(batch)]

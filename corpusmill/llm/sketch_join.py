@@ -38,6 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.llm.common import Scratch, WordIds, byte_texts, dropped, kept, slices, whole_text
+from corpusmill.llm.token_ids import release_encoders
 
 BLOCK = 1024
 # Sets a task remembers having met, so as to write their pieces once.
@@ -146,6 +147,7 @@ def _set_rows(near: Similarity):
     """A row per document; a set that has bands gives its sketch and its buckets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_encoders()
         memo, met = WordIds(), set()
         for batch in slices(batches, 1000):
             out, buckets = [], []
@@ -251,6 +253,7 @@ def _bucket_rows(near: Similarity, again: bool):
         return [(min(names[i], names[j]), max(names[i], names[j])) for i, j in found]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_encoders()
         name, rows, out = None, [], []
 
         def flushed(last: bool):
@@ -287,6 +290,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, near: Similarity) -> DataFrame
     """Add ``linked`` to distinct pairs ``(a, b)``: whether their sets are similar."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_encoders()
         memo = WordIds()
         for batch in slices(batches, 500):
             left, right = byte_texts(batch, "text_a"), byte_texts(batch, "text_b")

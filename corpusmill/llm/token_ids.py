@@ -165,3 +165,14 @@ def encoder(path: str | None = None, end_id: int | None = 0) -> Encoder:
     if key not in made:
         made[key] = Encoder(path, end_id)
     return made[key]
+
+
+def release_encoders() -> None:
+    """Free the encoders of this worker; tasks of other operators need the memory.
+
+    A worker outlives its task, and Spark has no call for the end of a stage.
+    """
+    import sys
+
+    if library := sys.modules.get("tokenizers"):
+        vars(library).pop("_corpusmill_encoders", None)

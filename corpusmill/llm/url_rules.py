@@ -4,8 +4,9 @@ A URL is a set of tokens: its host's labels, its path's segments (digits as one
 endings apart) and the names of its query's fields. Spark's FP-growth mines the token
 combinations of the labelled URLs together with their label; the combinations that imply a bad
 label with enough support and confidence are the rules, unless all but one of their tokens are a
-rule of at least that confidence. Each rule is filed under its rarest token, so a URL is compared
-only with rules that could match it.
+rule of at least that confidence. Tokens that lie on the same pages are mined as one, so that a
+template of many fixed tokens does not make a combination for each subset of them. Each rule is
+filed under its rarest tokens, so a URL is compared only with rules that could match it.
 
 All work is in DataFrame functions. Defined cases: a null URL or one without ``://`` has an
 empty host and path, fits no rule and is allowed; repeated rows give a row each; a page with
@@ -20,7 +21,7 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import ascii_lower
+from corpusmill.llm.common import ascii_lower, dropped, kept
 
 MIN_SUPPORT = 0.001
 MIN_CONFIDENCE = 0.8
@@ -55,23 +56,57 @@ def url_tokens(url: Column) -> Column:
     )
 
 
+def _token_classes(each: DataFrame, least: float) -> DataFrame:
+    """``(token, name, members)`` of tokens on ``least`` pages: those that always occur together.
+
+    Tokens of one class lie on the same pages. Mined one by one they would make a combination
+    for each subset of the class, all with the same pages.
+    """
+    same = ["n", "total", "mixed"]
+    counted = each.groupBy("token").agg(
+        F.count("*").alias("n"),
+        F.sum(F.col("page").cast("decimal(38,0)")).alias("total"),
+        F.bit_xor(F.xxhash64("page", F.lit("pages"))).alias("mixed"),
+    )
+    classes = counted.filter(F.col("n") >= least).groupBy(*same).agg(
+        F.sort_array(F.collect_set("token")).alias("members")
+    )
+    return classes.select(F.explode("members").alias("token"), F.get("members", F.lit(0)).alias("name"), "members", "n")
+
+
 def mine_rules(
     labelled: DataFrame,
     min_support: float = MIN_SUPPORT,
     min_confidence: float = MIN_CONFIDENCE,
     min_pages: int = MIN_PAGES,
 ) -> DataFrame:
-    """``(anchor, tokens, confidence)`` from ``labelled``: ``url`` and the boolean ``bad``.
+    """``(anchors, tokens, classes, confidence)`` from ``labelled``: ``url`` and the boolean ``bad``.
 
-    A rule needs a share of ``min_support`` of the labelled pages and ``min_pages`` of them.
+    A rule needs a share of ``min_support`` of the labelled pages and ``min_pages`` of them. Its
+    ``tokens`` each stand for a class of tokens that always occur together; a URL fits if it has
+    a token of each of the ``classes``. ``anchors`` is the class on the fewest pages.
     """
-    tokens = url_tokens(F.col("url"))
-    baskets = labelled.filter(F.col("bad").isNotNull()).select(
-        F.when(F.col("bad"), F.concat(tokens, F.array(F.lit(BAD)))).otherwise(tokens).alias("items")
+    rows, path = kept(
+        labelled.filter(F.col("bad").isNotNull()).select(
+            F.monotonically_increasing_id().alias("row"),
+            "bad",
+            url_tokens(F.col("url")).alias("tokens"),
+            F.xxhash64("url").alias("page"),
+        ).filter("bad or size(tokens) > 0"),
+        "labelled-urls",
     )
-    baskets = baskets.filter(F.size("items") > 0)
-    n = baskets.count()
+    n = rows.count()
     support = min(1.0, max(min_support, min_pages / max(n, 1)))
+    each = rows.select("row", "page", F.explode("tokens").alias("token"))
+    # A token of a class lies on a share of ``support`` of the pages, so there are at most as many
+    # as the mean number of tokens divided by that share.
+    classes, classes_path = kept(_token_classes(each, support * n), "url-classes")
+    named = each.join(F.broadcast(classes.select("token", "name")), "token")
+    named = named.groupBy("row").agg(F.collect_set("name").alias("names"))
+    names = F.coalesce("names", F.array().cast("array<string>"))
+    baskets = rows.join(named, "row", "left").select(
+        F.when(F.col("bad"), F.concat(names, F.array(F.lit(BAD)))).otherwise(names).alias("items")
+    )
     model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=min_confidence).fit(baskets)
     rules = (
         model.associationRules.filter(F.col("consequent") == F.array(F.lit(BAD)))
@@ -87,29 +122,34 @@ def mine_rules(
     needless = (
         parts.join(general, "part").filter("part_confidence >= confidence").select("tokens").distinct()
     )
-    kept = rules.join(needless, "tokens", "left_anti")
-    counts = model.freqItemsets.filter(F.size("items") == 1).select(
-        F.get("items", F.lit(0)).alias("token"), "freq"
-    )
-    rarest = (
-        kept.select("tokens", "confidence", F.explode("tokens").alias("token"))
-        .join(counts, "token")
+    left = rules.join(needless, "tokens", "left_anti")
+    own = classes.filter("token = name").select("name", "members", "n")
+    found = (
+        left.select("tokens", "confidence", F.explode("tokens").alias("name"))
+        .join(own, "name")
         .groupBy("tokens", "confidence")
-        .agg(F.min(F.struct("freq", "token"))["token"].alias("anchor"))
+        .agg(
+            F.min(F.struct("n", "name", "members"))["members"].alias("anchors"),
+            F.collect_list("members").alias("classes"),
+        )
     )
-    return rarest.select("anchor", "tokens", "confidence")
+    found, _ = kept(found.select("anchors", "tokens", "classes", "confidence"), "url-rules")
+    dropped(labelled, path)
+    dropped(labelled, classes_path)
+    return found
 
 
 def bad_urls(pages: DataFrame, rules: DataFrame) -> DataFrame:
-    """Distinct ``url`` values that hold all tokens of a mined rule."""
+    """Distinct ``url`` values that have a token of each class of a mined rule."""
     urls = pages.select("url").filter("url is not null").distinct()
     own = urls.select("url", url_tokens(F.col("url")).alias("own")).select(
         "url", "own", F.explode("own").alias("anchor")
     )
     n = rules.count()
-    rules = F.broadcast(rules) if n <= MAX_BROADCAST else rules
-    hit = own.join(rules, "anchor").filter(F.size(F.array_except("tokens", "own")) == 0)
-    return hit.select("url").distinct()
+    filed = rules.select("classes", F.explode("anchors").alias("anchor"))
+    filed = F.broadcast(filed) if n <= MAX_BROADCAST else filed
+    fits = F.forall("classes", lambda c: F.arrays_overlap(c, F.col("own")))
+    return own.join(filed, "anchor").filter(fits).select("url").distinct()
 
 
 def fixed_rule(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> Column:

@@ -92,6 +92,44 @@ def test_line_field_learns_boilerplate(spark):
     assert line_crf.fit(docs, labels.filter("false")) is line_crf.EVEN
 
 
+def test_lines_of_mixed_documents(spark):
+    """Good lines between junk, and junk between good lines: each line is marked for itself."""
+    import random
+
+    rng = random.Random(2)
+    licence = "ALL RIGHTS RESERVED $$$ COPY ONLY WITH NOTICE %%%"
+    junk = lambda: " ".join("#" * rng.randint(3, 9) + rng.choice("ab") for _ in range(12))
+    good = lambda k: [line for line in prose(k, 90).replace(". ", ".\n").split("\n")]
+    rows, labels = [], []
+    for i in range(60):
+        lines = good(i)
+        lines.insert(rng.randint(1, len(lines)), licence)
+        rows.append((i, "\n".join(lines)))
+        rows.append((100 + i, "\n".join(junk() for _ in range(10))))
+        labels += [(i, 1), (100 + i, 0)]
+    copies = [(500 + k, rows[0][1]) for k in range(9)]
+    docs = spark.createDataFrame(rows + copies, "doc_id long, text string").repartition(3)
+    hashes = docs.select(F.explode(F.split("text", "\n")).alias("line")).select("line", F.xxhash64("line").alias("hash"))
+    shared = {r.line for r in line_crf.common_lines(docs, hashes, 3).join(hashes, "hash").select("line").distinct().collect()}
+    assert shared == {licence}
+    labels = spark.createDataFrame(labels, "doc_id long, quality int")
+    plain = line_crf.fit(docs, labels)
+    model = line_crf.fit(docs, labels, common=3)
+
+    def marks(lines, model=model):
+        own = line_crf.read("\n".join(lines).encode())[1]
+        return model.decode([float(sum(model.emit[k] for k in f)) for f, _ in own])
+
+    mixed = [*good(900)[:4], *[junk() for _ in range(3)], *good(901)[:4]]
+    assert marks(mixed) == marks(mixed, plain) == [True] * 4 + [False] * 3 + [True] * 4
+    again = good(904)[:5]
+    assert marks([*again, again[0], again[0]], plain)[:5] == [True] * 5
+    assert marks([licence, *good(902)[:5]]) == [False] + [True] * 5
+    table = spark.createDataFrame([(1, "\n".join(mixed)), (2, rows[1][1]), (3, "\n".join(good(903)))], "doc_id int, text string")
+    share = {r.doc_id: r.content_share for r in line_crf.line_rules(table, model).collect()}
+    assert 0.5 < share[1] < 0.9 and share[2] == 0 and share[3] == 1
+
+
 def plain_ppm(train, text, order=4):
     """Log10 probability of a text and its end, symbol by symbol."""
     nodes = {}

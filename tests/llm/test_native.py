@@ -220,3 +220,50 @@ def test_mined_rules_of_more_tokens_than_three(spark):
     pages = spark.createDataFrame([(k, u[0]) for k, u in enumerate(urls)], "page_id int, url string")
     found = tuples(url_rules.judged(pages, labelled, []), "page_id", "verdict")
     assert found == [(0, "block"), *((k, "allow") for k in range(1, 5))]
+
+
+def brute_rules(urls, min_confidence=0.8, min_pages=5):
+    """All combinations of tokens that imply the bad label, without the needless ones."""
+    from itertools import combinations
+
+    baskets = [(set(t), bad) for t, bad in urls]
+    least = max(0.001 * len(baskets), min_pages)
+    found = {}
+    for tokens in {frozenset(c) for t, bad in baskets if bad for k in range(1, len(t) + 1) for c in combinations(sorted(t), k)}:
+        hits = [bad for t, bad in baskets if tokens <= t]
+        if sum(hits) >= least and sum(hits) / len(hits) >= min_confidence:
+            found[tokens] = sum(hits) / len(hits)
+    return {t for t, c in found.items() if not any(found.get(t - {x}, -1) >= c for x in t)}
+
+
+def test_mined_rules_equal_brute_force(spark):
+    """Rules over classes stand for all combinations of one token of each class."""
+    import random
+    from itertools import product
+
+    rng = random.Random(4)
+    words = [f"w{k}" for k in range(7)]
+    rows = []
+    for _ in range(300):
+        own = [w for w in words if rng.random() < 0.4]
+        twins = [t for w in own[:1] for t in (f"{w}x", f"{w}y")]
+        bad = ("w1" in own and "w2" in own and rng.random() < 0.95) or rng.random() < 0.1
+        rows.append(("http://a.net/" + "/".join(own + twins), bad))
+    labelled = spark.createDataFrame(rows, "url string, bad boolean").repartition(3)
+    tokens = spark.createDataFrame(rows, "url string, bad boolean").select(url_rules.url_tokens(F.col("url")), "bad").collect()
+    expected = brute_rules([(t, b) for t, b in tokens])
+    found = {frozenset(c) for r in url_rules.mine_rules(labelled).collect() for c in product(*r.classes)}
+    assert found == expected and any(len(r) > 1 for r in found)
+
+
+def test_a_template_of_many_tokens_is_mined(spark):
+    fixed = "/".join(f"t{k}" for k in range(40))
+    rows = [(f"http://spam.net/{fixed}/{'win' if k % 2 else 'news'}/{k}", k % 2 == 1) for k in range(60)]
+    rows += [(f"http://h{k}.net/win/{k}", False) for k in range(300)]
+    labelled = spark.createDataFrame(rows, "url string, bad boolean")
+    (rule,) = url_rules.mine_rules(labelled).collect()
+    assert sorted(map(len, rule.classes)) == [1, 41] and sorted(rule.tokens) == ["h:spam", "p:win"]
+    urls = [("http://spam.net/win/1",), ("http://x.net/t7/win",), ("http://x.net/win",), ("http://spam.net/t1/t2",)]
+    pages = spark.createDataFrame([(k, u[0]) for k, u in enumerate(urls)], "page_id int, url string")
+    found = tuples(url_rules.judged(pages, labelled, []), "page_id", "verdict")
+    assert found == [(0, "block"), (1, "block"), (2, "allow"), (3, "allow")]
