@@ -282,6 +282,13 @@ SELECT rank // 32 AS batch_id,
   CAST(sum(least(octet_length(encode(text)) + 1, {L}) - 1) AS BIGINT) AS supervised
 FROM ranked GROUP BY 1"""
 
+_SQL["file_batches"] = f"""
+WITH numbered AS (SELECT row_number() OVER (ORDER BY doc_id) AS line_no, text FROM documents),
+ranked AS ({_ranked('numbered', 'line_no', columns=', text')})
+SELECT rank // 32 AS batch_id,
+  CAST(sum(least(octet_length(encode(text)) + 1, {L}) - 1) AS BIGINT) AS supervised
+FROM ranked GROUP BY 1"""
+
 _SQL["line_index"] = f"""
 WITH {LINES}
 SELECT line_no - 1 AS row_id,

@@ -16,7 +16,7 @@ from corpusmill.operators import evaluate, profile, ranks, records
 from corpusmill.operators import tokenizer as coding
 from corpusmill.operators import training_samples as training
 from corpusmill.operators import vocabulary
-from corpusmill.plans.training import pretrain_batches
+from corpusmill.plans.training import pretrain_batches, write_file_batches
 from corpusmill.session import scratch_path
 from corpusmill.sources import arrays, lines, ranges, sinks, tokenizer_store
 from corpusmill.sources import tokenizer_json as tokenizer_json_files
@@ -125,6 +125,15 @@ def write_samples(spark, sf):
     return training.supervised_tokens(back, ["batch_id"])
 
 
+@query
+def file_batches(spark, sf):
+    path = scratch_path(spark, "file-batches")
+    texts = I.documents(spark, sf).orderBy("doc_id").select(F.to_json(F.struct("text")).alias("value"))
+    texts.write.text(f"{path}/in")
+    made = write_file_batches(spark, f"{path}/in", I.byte_tokenizer(), f"{path}/out", 32, shards=5, shards_per_job=2)
+    return training.supervised_tokens(made, ["batch_id"])
+
+
 @query
 def line_index(spark, sf):
     index = lines.line_index(spark, I.stored_texts(spark, sf))

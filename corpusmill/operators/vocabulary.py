@@ -146,8 +146,7 @@ def train_bpe(
             break
         first = ranked[:top_pairs]
         sure = first[: independent_prefix(first, complete and len(ranked) <= top_pairs)]
-        # A pair is in as many words as its count at most.
-        look = sum(n <= look_words for n in accumulate(n for *_, n in ranked))
+        look = sum(n <= look_words for n in accumulate(index.entries[left, right] for left, right, _ in ranked))
         if look == len(ranked) and not complete:
             look -= 1
         batch, known = [], False

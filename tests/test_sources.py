@@ -122,8 +122,8 @@ def test_lookup_reads_the_asked_lines(small_splits, tmp_path):
     found = lookup_lines(index, asked.unionByName(asked))
     got = sorted((r.file[-1], r.row_id, r.value) for r in found.collect())
     assert got == sorted((f, i, own[i]) for f, own in lines.items() for i in range(0, 3000, 7))
-    plan = found._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("MapInArrow") == 1
+    # A file that no line is asked of is not opened.
+    (tmp_path / "a").unlink()
     one = index.filter("file like '%/b' and row_id = 2999").select("file", "row_id")
     assert [r.value for r in lookup_lines(index, one).collect()] == [lines["b"][2999]]
     (tmp_path / "b").write_bytes(b"short")
@@ -266,3 +266,51 @@ def test_stream_equals_batch(spark, tmp_path, kind, lines):
     got = sorted(map(str, spark.read.parquet(out).collect()))
     want = sorted(map(str, prepare_lines(spark.read.text(src), kind).collect()))
     assert got == want and got
+
+
+@pytest.mark.parametrize("kind", ["pretrain", "sft"])
+def test_files_to_batches_and_again(spark, tmp_path, monkeypatch, kind):
+    from corpusmill.plans import training
+    from corpusmill.plans.training import pretrain_batches, sft_batches, write_file_batches
+    from checks.inputs import byte_tokenizer
+
+    tok = byte_tokenizer()
+    (tmp_path / "in").mkdir()
+    for k in range(2):
+        turns = [{"role": "user", "content": f"q{k}"}, {"role": "assistant", "content": "a" * k}]
+        records = [{"text": f"text {k} {i}"} if kind == "pretrain" else {"messages": turns} for i in range(57)]
+        write(tmp_path / "in" / f"{k}.jsonl", "\n".join(["", *map(json.dumps, records), "{bad"]))
+    once = write_file_batches(spark, str(tmp_path / "in"), tok, f"{tmp_path}/once", 4, kind, 24, shards=7)
+    want = sorted(map(str, once.drop("shard").collect()))
+    assert once.select("batch_id").distinct().count() == -(-once.count() // 4)
+    assert once.groupBy("batch_id").agg(F.countDistinct("shard").alias("n")).filter("n > 1").count() == 0
+    # A run that is ended after its first shards is taken up where it was.
+    encode, calls = training.pretrain_samples if kind == "pretrain" else training.sft_samples, []
+
+    def failing(*args):
+        calls.append(args)
+        if len(calls) == 2:
+            raise RuntimeError("ended")
+        return encode(*args)
+
+    name = "pretrain_samples" if kind == "pretrain" else "sft_samples"
+    monkeypatch.setattr(training, name, failing)
+    with pytest.raises(RuntimeError, match="ended"):
+        write_file_batches(spark, str(tmp_path / "in"), tok, f"{tmp_path}/again", 4, kind, 24, shards=7, shards_per_job=3)
+    first = {p.name: p.stat().st_mtime_ns for p in (tmp_path / "again").rglob("*.parquet")}
+    again = write_file_batches(spark, str(tmp_path / "in"), tok, f"{tmp_path}/again", 4, kind, 24, shards=7, shards_per_job=3)
+    assert sorted(map(str, again.drop("shard").collect())) == want and len(calls) == 4
+    assert first.items() <= {p.name: p.stat().st_mtime_ns for p in (tmp_path / "again").rglob("*.parquet")}.items()
+    assert not (tmp_path / "again-ordered").exists()
+    # And it is what the plan without files gives.
+    lines = number_lines(read_lines(spark, str(tmp_path / "in")), "row_id")
+    monkeypatch.undo()
+    if kind == "pretrain":
+        from corpusmill.operators.records import valid_texts
+
+        plain = pretrain_batches(valid_texts(lines).select("row_id", "text"), tok, 4, 24)
+    else:
+        from corpusmill.operators.records import render_records
+
+        plain = sft_batches(render_records(lines).select("row_id", "rendered"), tok, 4, 24)
+    assert sorted(map(str, plain.select(*once.drop("shard").columns).collect())) == want
