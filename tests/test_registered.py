@@ -5,10 +5,11 @@ import os
 import pytest
 
 import __spark_entry__ as registered
+from checks import oracle
 from checks.compare import TABLES, _normal
 
 SF_DIR = "/root/testdata/sf0.001"
-NAMES = ["chunk_profile", "scan_report", "to_chat", "epoch_batches", "assistant_mask", "line_index"]
+NAMES = list(oracle.all_sql())
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="tables not present")
 
