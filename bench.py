@@ -44,9 +44,6 @@ def main() -> None:
     def train_bpe_64() -> None:
         trained["tok"] = vocabulary.train_bpe(vocabulary.word_counts(docs), 261 + MERGES)
 
-    def train_bpe_8192() -> None:
-        trained["full"] = vocabulary.train_bpe(vocabulary.word_counts(docs), 8192)
-
     def chat_prepare() -> None:
         chats = records.to_chat(records.parse_json_strict(lines))
         run(chats.select("conv_id", render_chat(F.col("messages")).alias("rendered")))
@@ -62,8 +59,6 @@ def main() -> None:
         "pretrain_batches": lambda: run(
             pretrain_batches(docs, trained["tok"], 256, row_id="doc_id", accumulation=2)
         ),
-        "train_bpe_8192": train_bpe_8192,
-        "encode_8192": lambda: run(encode(docs, trained["full"])),
     }
     spent: dict[str, float] = {}
     for name, job in jobs.items():

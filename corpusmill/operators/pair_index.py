@@ -89,8 +89,6 @@ class PairIndex:
         self.counts: DataFrame | None = None
         self.to_fold: list[str] = []
         self.hot: dict[tuple[int, int], int] = {}
-        # Entries that gave a pair to a word: it is in as many words at most.
-        self.entries: dict[tuple[int, int], int] = {}
         self.last: tuple[int, int, int] | None = None
         start = words.select("word", "freq").mapInArrow(_changes(None, self._merger()), ENTRY)
         # The word is part of the order, so that a pair of very many words is cut as well.
@@ -175,30 +173,28 @@ class PairIndex:
         changed = self._summed(self._read(path)).filter(f"n < 0 or n >= {self.floor}")
         for row in changed.collect():
             pair = row.left, row.right
-            n, entries = self.hot.pop(pair, 0) + row.n, self.entries.pop(pair, 0) + row.entries
+            n = self.hot.pop(pair, 0) + row.n
             if n > 0 and (self.last is None or (-n, *pair) <= self.last):
-                self.hot[pair], self.entries[pair] = n, entries
+                self.hot[pair] = n
 
     @staticmethod
     def _summed(entries: DataFrame) -> DataFrame:
         n = F.sum(F.col("times") * F.col("freq"))
-        return entries.groupBy("left", "right").agg(n.alias("n"), F.count_if(F.col("times") > 0).alias("entries"))
+        return entries.groupBy("left", "right").agg(n.alias("n"))
 
     def fold(self) -> None:
         """Sum all counts, and make one segment of the rounds since the last time."""
         counts = self._summed(self._read(*self.to_fold))
         if self.counts is not None:
-            both = self.counts.unionByName(counts).groupBy("left", "right")
-            counts = both.agg(F.sum("n").alias("n"), F.sum("entries").alias("entries"))
+            counts = self.counts.unionByName(counts).groupBy("left", "right").agg(F.sum("n").alias("n"))
         path = f"{self.run}/counts-{len(self.folder)}"
         counts.filter("n > 0").write.parquet(path)
-        self.counts = self.spark.read.schema("left int, right int, n long, entries long").parquet(path)
+        self.counts = self.spark.read.schema("left int, right int, n long").parquet(path)
         top = self.counts.orderBy(F.desc("n"), "left", "right").limit(self.hot_pairs + 1).collect()
         more = len(top) > self.hot_pairs
         top = top[: self.hot_pairs]
         self.last = (-top[-1].n, top[-1].left, top[-1].right) if more else None
         self.hot = {(r.left, r.right): r.n for r in top}
-        self.entries = {(r.left, r.right): r.entries for r in top}
         if len(self.to_fold) > 1:
             whole = f"{self.run}/segment-{len(self.folder)}"
             entries = self._read(*self.to_fold).filter("times > 0")
