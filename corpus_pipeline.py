@@ -8,7 +8,10 @@
 5. Documents are packed into sequences of 2,048 tokens.
 
 Stages 1 to 4 return the columns of their input; the last returns packed pieces. A null text
-counts as empty; extra columns pass through; an empty table gives an empty table.
+counts as empty; extra columns pass through, whatever their names; an empty table gives an empty
+table. Of repeated rows one is left by the second stage, the others keep each row. Of near copies
+of one id that differ, the one of least text hash stays; a null id comes after all others. A
+text of any length is read whole by every stage.
 """
 
 from __future__ import annotations
