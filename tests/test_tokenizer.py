@@ -14,6 +14,7 @@ from corpusmill.operators.training_samples import (
     sft_samples,
     supervised_tokens,
 )
+from corpusmill.operators.merge_passes import MergePasses
 from corpusmill.operators.pair_index import PairIndex
 from corpusmill.operators.vocabulary import train_bpe, word_counts
 from corpusmill.sources.tokenizer_json import (
@@ -234,6 +235,52 @@ def test_a_round_reads_the_entries_of_its_pairs(spark):
         index.close()
 
 
+@pytest.mark.parametrize("passes, sample", [(0, 9), (40, 0), (40, 9), (40, 300), (40, 50_000), (13, 40)])
+def test_passes_foretell_merges_and_never_change_them(spark, passes, sample):
+    texts = random_texts(7)
+    ours = train_bpe(word_counts(corpus(spark, texts)), 261 + 40, pass_merges=passes, sample_words=sample)
+    theirs = package_tokenizer(texts, 261 + 40)
+    assert ours.merges == merges_of(theirs) and dict(ours.ids) == theirs.get_vocab()
+
+
+def test_frequent_merges_are_found_in_few_passes(spark, monkeypatch):
+    """The words of a frequent pair are not written again for each merge."""
+    rounds, passes, confirm = [], [], MergePasses.confirm
+
+    def counted(self, planned, least):
+        passes.append(confirm(self, planned, least))
+        return passes[-1]
+
+    monkeypatch.setattr(PairIndex, "merge", lambda self, *_, **__: rounds.append(1))
+    monkeypatch.setattr(MergePasses, "confirm", counted)
+    ours = train_bpe(word_counts(corpus(spark, random_texts(8))), 261 + 40)
+    assert len(ours.merges) == sum(passes) == 40 and not rounds and len(passes) <= 4
+
+
+def test_a_wrong_forecast_is_not_applied(spark):
+    counts = {"ab": 9, "cd": 8, "ef": 7}
+    passes = MergePasses(words_table(spark, counts), list(range(256)), list(range(256)), 10)
+    try:
+        a, b, c, d, e, f = map(ord, "abcdef")
+        assert passes.best(1) == (a, b)
+        assert passes.confirm([(a, b, 256), (e, f, 257), (c, d, 258)], 1) == 1
+        assert passes.merges == [(a, b, 256)] and passes.counts == {(c, d): 8, (e, f): 7}
+        assert passes.confirm([(c, d, 257), (e, f, 258)], 8) == 1
+    finally:
+        passes.close()
+
+
+def test_the_sample_holds_frequent_words_and_stands_for_rare_ones(spark):
+    counts = {f"rare{i}": 2 for i in range(4000)} | {f"often{i}": 5000 + i for i in range(50)}
+    passes = MergePasses(words_table(spark, counts), list(range(256)), list(range(256)), 500)
+    passes.close()
+    weights = dict(zip(passes.sample, passes.weights))
+    assert 300 < len(weights) <= 500
+    assert all(weights[w.encode()] == n for w, n in counts.items() if n > 2)
+    rare = sum(n for w, n in weights.items() if w.startswith(b"rare"))
+    assert 0.7 * 8000 < rare < 1.3 * 8000
+
+
 def test_samples(spark, tok):
     texts = ["ab", "the th " * 30, ""]
     rows = pretrain_samples(corpus(spark, texts).withColumn("k", F.col("text")), tok, 16).collect()
