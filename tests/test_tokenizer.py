@@ -2,10 +2,13 @@ import json
 import random
 import unicodedata
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from corpusmill.functions import merging
 from corpusmill.functions.byte_symbols import SYMBOLS
+from corpusmill.functions.merging import WordMerger, array_encoder
 from corpusmill.operators import evaluate
 from corpusmill.operators.tokenizer import SPECIAL_TOKENS, Tokenizer, decode, encode, token_to_id
 from corpusmill.operators.training_samples import (
@@ -17,6 +20,7 @@ from corpusmill.operators.training_samples import (
 from corpusmill.operators.merge_passes import MergePasses
 from corpusmill.operators.pair_index import PairIndex
 from corpusmill.operators.vocabulary import train_bpe, word_counts
+from corpusmill.session import BATCH_BYTES
 from corpusmill.sources.tokenizer_json import (
     chat_template,
     model_document,
@@ -281,6 +285,31 @@ def test_the_sample_holds_frequent_words_and_stands_for_rare_ones(spark):
     assert 0.7 * 8000 < rare < 1.3 * 8000
 
 
+def test_a_batch_of_many_words_is_encoded_in_parts(monkeypatch):
+    merger = WordMerger({}, list(range(256)), list(range(256)), {(97, 98): (0, 256)})
+    texts = [None, [], ["ab", "b", "abab"] * 7, ["x"], None, [f"ab{i}" for i in range(40)], []]
+    want = [t and [i for w in t for i in merger.encode([w])[0].as_py()] for t in texts]
+    most = []
+    monkeypatch.setattr(merging, "WORDS", 9)
+    encode_words = merger.encode
+    monkeypatch.setattr(merger, "encode", lambda words: most.append(len(words)) or encode_words(words))
+    rows = pa.array([["aa"], *texts], pa.list_(pa.string())).slice(1)
+    assert array_encoder(merger)(rows).to_pylist() == want
+    assert max(most) <= 9
+
+
+def test_batches_for_arrow_functions_end_after_some_bytes(spark):
+    """Long texts do not come to a worker 10,000 at a time."""
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.record_batch([pa.array([batch.nbytes])], ["size"])
+
+    texts = spark.range(0, 4000, 1, 1).select(F.repeat(F.lit("some words "), 1000).alias("text"))
+    found = [r["size"] for r in texts.mapInArrow(sizes, "size long").collect()]
+    assert sum(found) > 40_000_000 and max(found) < 2 * BATCH_BYTES
+
+
 def test_samples(spark, tok):
     texts = ["ab", "the th " * 30, ""]
     rows = pretrain_samples(corpus(spark, texts).withColumn("k", F.col("text")), tok, 16).collect()
